@@ -13,14 +13,23 @@ from cartloom.rules import shop
 NUMERIC_SIZE = r"^\d+(\s*-\s*\d+)?$"
 
 
+_ENTRY, _PAIR = "\x01", "\x02"
+
+
 def lookup(table: Mapping[str, str], key: Column) -> Column:
-    """Value of a small fixed mapping, null when absent."""
-    flat = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*flat), key)
+    """Value of a small fixed mapping, null when absent.
+
+    The mapping is one foldable text literal, which the optimizer turns into a map once; a tree of
+    literals would be analysed again with every later step.
+    """
+    text = _ENTRY.join(f"{k}{_PAIR}{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(text), F.lit(_ENTRY), F.lit(_PAIR)), key)
 
 
 def string_array(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    if not values:
+        return F.array().cast("array<string>")
+    return F.split(F.lit(_ENTRY.join(values)), _ENTRY)
 
 
 def normalize_colour(c: Column, synonyms: Mapping[str, str] = shop.COLOUR_SYNONYMS) -> Column:

@@ -62,8 +62,8 @@ def unique_handles(df: DataFrame, slug: str, id_: str, depth: int = 2) -> DataFr
     handle is suffixed as well. Such a row names its blocker by the trailing digits of its slug, so
     one join on the unique id finds it; ``depth`` is how many such steps may follow one another.
     """
-    first = with_first(df, [slug], id_, out="_first")
-    rows = first.withColumn("taken_by", F.when(F.col("_first") != F.col(id_), F.col("_first"))).drop("_first")
+    first = with_first(df, [slug], id_, out="_owner")
+    rows = first.withColumn("taken_by", F.when(F.col("_owner") != F.col(id_), F.col("_owner"))).drop("_owner")
     for _ in range(depth):
         parts = r"^(.*)-(\d{1,18})$"
         suffixed = rows.where(F.col("taken_by").isNotNull()).select(
@@ -440,6 +440,7 @@ def all_variations(products: DataFrame, variations: DataFrame) -> DataFrame:
 
 
 def build_variants(
+    products: DataFrame,
     classified: DataFrame,
     variations: DataFrame,
     options: DataFrame,
@@ -449,7 +450,11 @@ def build_variants(
     currency: str = CURRENCY,
     max_group_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Variant records (before product holds) and their exceptions."""
+    """Variant records (before product holds) and their exceptions.
+
+    ``products`` are the source rows, ``classified`` the same with handles: what needs no handle
+    reads the source, so its plan stays short.
+    """
     parents = (
         classified.join(options, F.col("id") == F.col("product_id"), "left")
         .select(
@@ -463,7 +468,7 @@ def build_variants(
     )
     extra = {} if max_group_rows is None else {"max_rows": max_group_rows}
     rows = numbered(
-        all_variations(classified, variations).withColumn("menu_order", F.coalesce("menu_order", F.lit(0))),
+        all_variations(products, variations).withColumn("menu_order", F.coalesce("menu_order", F.lit(0))),
         ["parent_id"],
         ["menu_order", "id"],
         ["menu_order", "id"],
@@ -639,6 +644,7 @@ def image_skus(variations: DataFrame, sku_prefix: str = SKU_PREFIX) -> DataFrame
 
 
 def build_media(
+    products: DataFrame,
     classified: DataFrame,
     variations: DataFrame,
     media: DataFrame,
@@ -652,7 +658,7 @@ def build_media(
     Gallery images come first, then variation images, de-duplicated by address in that order. An
     image names its first variant and how many show it; the full list is :func:`image_skus`.
     """
-    gallery = classified.select(
+    gallery = products.select(
         F.col("id").alias("product_id"), F.posexplode("images").alias("at", "i")
     ).select("product_id", F.lit(0).alias("kind"), F.col("at").cast("bigint"), F.lit(0).cast("bigint").alias("tie"), "i.id", "i.src", "i.alt")
     shown = variations.where(F.col("image.src") != "").select(

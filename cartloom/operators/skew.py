@@ -56,8 +56,9 @@ def numbered(
         .withColumn("_place", F.when(F.col("_rows").isNotNull(), place))
         .drop("_head_low", "_tail_low", "_tail_high")
     )
-    percents = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
-    step = F.greatest(F.lit(1), F.floor(F.lit(QUANTILES) * max_rows / F.col("_rows")).cast("int"))
+    # one foldable literal: an array of thousands of literals would cost seconds to analyse
+    percents = F.split(F.lit(",".join(str(i / QUANTILES) for i in range(1, QUANTILES))), ",").cast("array<double>")
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(QUANTILES * max_rows)) / F.col("_rows")).cast("int"))
     splits = (
         df.join(F.broadcast(hot), keys)
         .groupBy(*keys)

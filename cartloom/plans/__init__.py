@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["orders"]
+MODULES = ["orders", "catalog"]
 
 
 def load_queries():
