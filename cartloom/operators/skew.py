@@ -87,10 +87,10 @@ def numbered(
     return (
         # explicit, so a partitioning by the keys alone is not reused for a hot group
         ranged.repartition(*keys, "_range")
-        .withColumn("_n", F.row_number().over(within))
+        .withColumn("_nth", F.row_number().over(within))
         .join(F.broadcast(shifts), [*keys, "_range"], "left")
-        .withColumn(out, (F.col("_n") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
-        .drop("_n", "_shift", "_range", "_place")
+        .withColumn(out, (F.col("_nth") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
+        .drop("_nth", "_shift", "_range", "_place")
     )
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["orders", "catalog"]
+MODULES = ["orders", "catalog", "listing", "loads", "links", "events"]
 
 
 def load_queries():
