@@ -120,7 +120,8 @@ def recost_lines(lines: Column, changes: Column) -> Column:
     """
 
     def edited(line: Column) -> Column:
-        wanted = F.greatest(F.lit(0), F.try_element_at(changes, line["id"]))
+        change = F.try_element_at(changes, line["id"])
+        wanted = F.when(change.isNotNull(), F.greatest(F.lit(0), change))  # greatest skips nulls
         cost = F.when(wanted.isNull(), amount(line["total"])).otherwise(
             amount(line["unit_price"]) * wanted.cast("decimal(10,0)")
         )

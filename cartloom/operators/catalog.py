@@ -51,7 +51,9 @@ def resolve_inventory(v: Column, parent: Column) -> Column:
     managed = F.coalesce(v["manage_stock"], F.lit(False)) | F.coalesce(parent["manage_stock"], F.lit(False))
     raw = F.coalesce(v["stock_quantity"], F.when(~managed & (v["stock_status"] == "outofstock"), 0))
     return F.struct(
-        managed.alias("managed"), F.greatest(raw, F.lit(0)).alias("quantity"), v["stock_quantity"].alias("raw")
+        managed.alias("managed"),
+        F.when(raw < 0, 0).otherwise(raw).alias("quantity"),
+        v["stock_quantity"].alias("raw"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -71,16 +72,18 @@ def load_snapshot(
 
 
 def _manifest(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Time and base of the export. Spark's readers skip names that start with ``_``, so the one
+    small object is read through the file system it lies on."""
     if not path_exists(spark, path):
         return "unknown", "unknown"
-    fields = "started string, finished string, base string, note string"
-    row = (
-        spark.read.schema(fields)
-        .json(path, multiLine=True)
-        .select(F.coalesce("finished", "started", F.lit("unknown")), F.coalesce("base", F.lit("unknown")))
-        .first()
-    )
-    return (row[0], row[1]) if row else ("unknown", "unknown")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        found = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return found.get("finished") or found.get("started") or "unknown", found.get("base") or "unknown"
 
 
 def source_summary(snapshot: Snapshot, tallies: dict[str, list[str]] | None = None) -> DataFrame:
