@@ -9,21 +9,8 @@ from pyspark.sql import functions as F
 import shopdata
 from cartloom.operators import catalog, quality
 from cartloom.operators.exceptions import Rule, exception_order, exceptions_by_severity
-from cartloom.operators.transform import transform
-from cartloom.sources import schemas
-from cartloom.sources.snapshot import SnapshotMissing, load_snapshot, source_summary
-
-
-def snapshot(spark, folder):
-    return load_snapshot(
-        spark, folder, schemas.CATALOG_REQUIRED + schemas.ARCHIVE_REQUIRED, schemas.CATALOG_OPTIONAL + ["payment_gateways"]
-    )
-
-
-@pytest.fixture(scope="module")
-def shop(spark, tmp_path_factory):
-    source = snapshot(spark, shopdata.write(tmp_path_factory.mktemp("source")))
-    return source, transform(source, str(tmp_path_factory.mktemp("work")), "House Brand")
+from cartloom.sources.snapshot import SnapshotMissing, source_summary
+from conftest import snapshot
 
 
 def by(df, *keys):
