@@ -24,6 +24,7 @@ from cartloom.functions.text import (
 from cartloom.operators.exceptions import AGENCY, Rule, exceptions_from_rules, union_all
 from cartloom.operators.skew import numbered, with_first
 from cartloom.rules import shop
+from cartloom.session import checkpointed
 
 CURRENCY = "AUD"
 COUNTRY = "AU"
@@ -64,29 +65,26 @@ def unique_handles(df: DataFrame, slug: str, id_: str, depth: int = 2) -> DataFr
     handle is suffixed as well. Such a row names its blocker by the trailing digits of its slug, so
     one join on the unique id finds it; ``depth`` is how many such steps may follow one another.
     """
-    first = with_first(df, [slug], id_, out="_owner")
-    rows = first.withColumn("taken_by", F.when(F.col("_owner") != F.col(id_), F.col("_owner"))).drop("_owner")
-    for _ in range(depth):
-        parts = r"^(.*)-(\d{1,18})$"
+    # ids and slugs only, kept once: the steps below read them several times
+    owned = checkpointed(with_first(df.select(id_, slug), [slug], id_, out="_owner"))
+    rows = owned.withColumn("taken_by", F.when(F.col("_owner") != F.col(id_), F.col("_owner"))).drop("_owner")
+    parts = r"^(.*)-(\d{1,18})$"
+    named = rows.where(F.col("taken_by").isNull() & F.col(slug).rlike(parts)).withColumn(
+        "_names", F.regexp_extract(slug, parts, 2).try_cast("bigint")
+    )
+    for _ in range(depth if not named.isEmpty() else 0):
         suffixed = rows.where(F.col("taken_by").isNotNull()).select(
             F.col(id_).alias("_blocker"), F.col(slug).alias("_blocker_slug")
         )
-        marked = rows.withColumn(
-            "_names",
-            F.when(F.col("taken_by").isNull(), F.regexp_extract(slug, parts, 2).try_cast("bigint")),
-        )
-        hit = (
-            (F.col("_names") == F.col("_blocker"))
-            & (F.col("_blocker") < F.col(id_))
-            & (F.col(slug) == F.concat_ws("-", "_blocker_slug", F.col("_blocker").cast("string")))
-        )
-        rows = (
-            marked.join(suffixed, hit, "left")
-            .withColumn("taken_by", F.coalesce("taken_by", "_blocker"))
-            .drop("_names", "_blocker", "_blocker_slug")
+        full = F.concat_ws("-", F.col("_blocker_slug"), F.col("_blocker").cast("string"))
+        hits = (
+            named.join(suffixed, (F.col("_names") == F.col("_blocker")) & (F.col(slug) == full) & (F.col("_blocker") < F.col(id_)))
+            .select(id_, "_blocker")
         )
+        rows = rows.join(hits, id_, "left").withColumn("taken_by", F.coalesce("taken_by", "_blocker")).drop("_blocker")
     suffix = F.concat_ws("-", F.col(slug), F.col(id_).cast("string"))
-    return rows.withColumn("handle", F.when(F.col("taken_by").isNotNull(), suffix).otherwise(F.col(slug)))
+    handles = rows.select(id_, "taken_by", F.when(F.col("taken_by").isNotNull(), suffix).otherwise(F.col(slug)).alias("handle"))
+    return df.join(handles, id_)
 
 
 def handle_rule() -> Rule:
@@ -522,7 +520,10 @@ def build_variants(
         .withColumn("sku", F.when(F.col("sku_generated"), generate_sku(F.col("parent_id"), F.col("id"), sku_prefix)).otherwise(F.col("raw_sku")))
         .withColumn("_combination", F.when(F.size("missing") == 0, F.to_json("option_values")))
         .withColumn("_at", F.struct("position", F.col("id").alias("id")))
+        .drop("_names", "_values", "_given", "_picked", "options", "attributes", "image", "meta_data")
     )
+    # read by the duplicate check, the records and the exceptions: computed once
+    resolved = checkpointed(resolved)
     full = resolved.where(F.col("_combination").isNotNull())
     claimed = (
         full.groupBy("parent_id", "_combination")

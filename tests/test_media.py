@@ -7,7 +7,7 @@ from cartloom.operators import listing, media
 
 UP = "https://www.s.invalid/wp-content/uploads"
 BODY = (
-    f'<img data-src="{UP}/b.jpg" src="/wp-content/uploads/a-300x200.jpg" srcset="{UP}/a-300x200.jpg 300w, {UP}/a.jpg 900w" sizes="9vw">'
+    f'<img src="/wp-content/uploads/a-300x200.jpg" data-src="{UP}/b.jpg" srcset="{UP}/a-300x200.jpg 300w, {UP}/a.jpg 900w" sizes="9vw">'
     f'<img src="https://else.invalid/wp-content/uploads/x.jpg"><a href="//s.invalid/wp-content/uploads/f%20g.pdf">f</a><img src="{UP}/lost-20x20.png" srcset="{UP}/lost-20x20.png 1x, {UP}/a.jpg 2x">'
 )
 
