@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from cartloom.functions import forms
 from cartloom.functions.commerce import EVENT_NAMES, ecommerce_params
 from cartloom.operators.exceptions import union_all
-from cartloom.operators.skew import MAX_GROUP_ROWS, numbered, with_previous, with_running_max
+from cartloom.operators.skew import MAX_GROUP_ROWS, SLICE_SECONDS, numbered, with_previous, with_running_max
 from cartloom.session import checkpointed
 
 TTL_SECONDS = 600
 LIMIT, WINDOW_SECONDS = 5, 600
 
 
-def page_view_dedupe(views: DataFrame, session: str, ts: str, id_: str, path: Column, slice_seconds: int = 86_400) -> DataFrame:
+def page_view_dedupe(views: DataFrame, session: str, ts: str, id_: str, path: Column, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Views whose path differs from the previous one of the session; the first always counts."""
     rows = with_previous(views, [session], ts, id_, path, "_previous", slice_seconds)
     changed = F.col("_previous").isNull() | ~F.col("_previous.value").eqNullSafe(path)
@@ -29,7 +29,7 @@ def page_view_dedupe(views: DataFrame, session: str, ts: str, id_: str, path: Co
 
 
 def dedupe_deliveries(
-    deliveries: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = TTL_SECONDS, slice_seconds: int = 86_400
+    deliveries: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = TTL_SECONDS, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Add ``duplicate``: the id arrived less than the TTL ago, where every arrival restarts the
     clock. A blank id is never a duplicate and never shuffled."""

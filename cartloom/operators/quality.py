@@ -224,26 +224,36 @@ def meta_key_counts(df: DataFrame, meta: Column | str, owner: str) -> DataFrame:
     )
 
 
-def plugin_fingerprints(plugins: DataFrame, key_counts: DataFrame, patterns: DataFrame) -> DataFrame:
+def plugin_fingerprints(plugins: DataFrame, key_counts: DataFrame, patterns: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Active plugins with the data they left: ``name, version, evidence, holds_data``.
 
-    ``patterns``: ``plugin_pattern, owner, key_pattern``, a fixed rule list. Key counts are
-    aggregated to one row per rule first, so the two regex joins see the plugin list and the rules.
+    ``patterns``: ``(plugin pattern, owner, key pattern)`` rules. Both sides list the rules they
+    match as they are read, so the regex matching needs no theta join: keys are summed per rule,
+    then joined to plugins on the rule.
     """
-    rules = F.broadcast(patterns)  # rule list, fixed size
+
+    def rules(of: Column, pattern: int, owner: Column | None = None) -> Column:
+        return F.array_compact(
+            F.array(
+                *[
+                    F.when(of.rlike(("(?i)" if pattern == 0 else "") + rule[pattern]) & (F.lit(True) if owner is None else owner == rule[1]), F.lit(i))
+                    for i, rule in enumerate(patterns)
+                ]
+            )
+        )
+
     hits = (
-        key_counts.withColumnRenamed("owner", "_owner")
-        .join(rules, (F.col("_owner") == F.col("owner")) & F.expr("key RLIKE key_pattern"))
-        .groupBy("plugin_pattern")
+        key_counts.select(F.explode(rules(F.col("key"), 2, F.col("owner"))).alias("rule"), "n")
+        .groupBy("rule")
         .agg(F.sum("n").alias("n"))
     )
-    evidence = patterns.select("plugin_pattern").distinct().join(hits, "plugin_pattern", "left")
     named = plugins.where(F.col("status") == "active").withColumn("name", F.regexp_replace("name", "&amp;", "&"))
     return (
-        named.join(F.broadcast(evidence), F.expr("name RLIKE concat('(?i)', plugin_pattern)"), "left")
+        named.select("name", "version", F.explode_outer(rules(F.col("name"), 0)).alias("rule"))
+        .join(hits, "rule", "left")
         .groupBy("name", "version")
-        .agg(F.sum("n").alias("evidence"))
-        .select("name", "version", F.coalesce("evidence", F.lit(0)).cast("bigint").alias("evidence"), (F.coalesce("evidence", F.lit(0)) > 0).alias("holds_data"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("evidence"))
+        .withColumn("holds_data", F.col("evidence") > 0)
     )
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A group above this many rows is split before it is ordered.
 MAX_GROUP_ROWS = 2_000_000
+#: Time slice of ordered event work: a year of one hot key is 8,760 tasks' worth.
+SLICE_SECONDS = 3_600
 #: Finest cut of one hot group.
 QUANTILES = 4096
 
@@ -121,7 +123,7 @@ def with_previous(
     tiebreak: str,
     value: Column,
     out: str = "previous",
-    slice_seconds: int = 86_400,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """``lag(value)`` over ``keys`` in ``(ts, tiebreak)`` order, as ``struct<value>`` or null.
 
@@ -149,7 +151,7 @@ def with_previous(
 
 
 def with_running_max(
-    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column, out: str, slice_seconds: int = 86_400
+    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column, out: str, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Greatest ``value`` up to and including the row, over ``keys`` in ``(ts, tiebreak)`` order.
 

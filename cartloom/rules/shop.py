@@ -142,12 +142,6 @@ SURFACE_CHOICES = ["beach", "indoor"]
 GENDER_CHOICES = ["Men", "Unisex", "Women"]
 CLUB_CHOICES = sorted([*(c[0] for c in CLUBS), TEAMWEAR[0]])
 
-#: fields of the flat seven-type taxonomy kept for older exports
-LEGACY_TYPES = [
-    ("protective gear", ["kneepads", "elbow pads", "sleeves"]),
-    ("coaching", ["coaching", "ball cart / trolley"]),
-]
-
 FUNCTIONAL_PAGE = r"^(cart|checkout|my-account|wishlist|shop|order-tracking)(-\d+)?$"
 ADVANCED_COUPON_PREFIXES = ["_acfw", "_wjecf", "_flexible_coupon"]
 COLOUR_ATTRIBUTES = ["colour", "color", "pa_colour", "pa_color"]

@@ -155,7 +155,7 @@ def test_audit(spark, shop):
     assert inventory["line_item", "meta_key", "pa_size"] == 1
     used = {r.attachment_id: r.used_by_products for r in quality.media_inventory(source["media"], source["media_head"], quality.media_usage_by_product(source["products"], source["variations"])).collect()}
     assert used == {1: 1, 2: 1, 6: 0}
-    patterns = spark.createDataFrame([("^Add-on", "line_item", "^pa_"), ("^Other", "line_item", "^pa_")], "plugin_pattern string, owner string, key_pattern string")
+    patterns = [("^add-on", "line_item", "^pa_"), ("^Other", "line_item", "^pa_"), ("fields", "order", "^pa_")]
     keys = quality.meta_key_counts(source["orders"].select(F.explode("line_items.meta_data").alias("m")), "m", "line_item")
     prints = quality.plugin_fingerprints(source["plugins"], keys, patterns).collect()
     assert [(p.name, p.evidence, p.holds_data) for p in prints] == [("Add-on Fields & Co", 1, True)]

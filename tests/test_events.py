@@ -205,3 +205,9 @@ def test_stream_metrics(spark, tmp_path):
     batch = ev.commerce_events(raw, "AUD").groupBy(F.window("ts", "10 minutes").start.alias("start")).agg(F.sum("value").alias("v"), F.count("*").alias("n"))
     want = {(r.start, r.v, r.n) for r in batch.collect() if r.start < datetime(2024, 1, 2)}
     assert {(r.start, r.value, r.events) for r in out.collect()} == want
+
+
+def test_stream_drop_repeats(spark, tmp_path):
+    rows = spark.createDataFrame([("a", START + timedelta(seconds=i), i) for i in range(6)] + [("b", START, 9)], "key string, ts timestamp, id long")
+    out = replay(spark, tmp_path, rows, ["ts", "id"], lambda s: jobs.drop_repeats(s, "key", "ts", "1 hour"), batches=2)
+    assert sorted(r.key for r in out.collect()) == ["a", "b"]

@@ -207,3 +207,54 @@ def test_structured_data(spark):
     assert "<" not in df.select(seo.product_json_ld("https://s", F.col("n"))).first()[0]
     assert many["offers"] == {"@type": "AggregateOffer", "url": "https://s/p/b", "lowPrice": "1.00", "highPrice": "2.50", "priceCurrency": "AUD", "offerCount": 3, "availability": "https://schema.org/OutOfStock"}
     assert len(many["description"]) == 1000 and "image" not in many
+
+
+def test_older_taxonomy(spark):
+    from cartloom.rules import legacy
+
+    tables = (legacy.CATEGORY_TYPES, legacy.TYPE_PRIORITY, legacy.NAME_TYPES)
+    kinds = one(
+        spark, options.product_type(words("Kneepads", "T-Shirts"), F.lit("x"), *tables), options.product_type(words("none"), F.lit("Coach Board"), *tables)
+    )
+    assert [tuple(k) for k in kinds] == [("protective-gear", "category"), ("coaching", "name-inferred")]
+
+
+def test_other_structured_data(spark):
+    import json
+
+    post = "path string, headline string, description string, image string, date_published string, date_modified string, author string"
+    df = spark.createDataFrame([("/blog/a", "H", "", None, "2024-01-01", None, "Jo"), ("/blog/b", "H", "d", "https://i", None, None, " ")], post)
+    a, b = [json.loads(r[0]) for r in df.select(seo.article_json_ld("https://s")).collect()]
+    assert a["author"] == {"@type": "Person", "name": "Jo"} and a["dateModified"] == "2024-01-01" and "image" not in a
+    assert b["author"] == {"@id": "https://s#organization"} and b["image"] == ["https://i"] and "datePublished" not in b
+    items = F.array(F.struct(F.lit("Home").alias("name"), F.lit("/").alias("path")), F.struct(F.lit("Now").alias("name"), F.lit(None).cast("string").alias("path")))
+    crumbs = json.loads(one(spark, seo.breadcrumb_json_ld("https://s", items))[0])["itemListElement"]
+    assert crumbs == [{"@type": "ListItem", "position": 1, "name": "Home", "item": "https://s"}, {"@type": "ListItem", "position": 2, "name": "Now"}]
+    assert json.loads(one(spark, seo.site_json_ld("https://s", F.lit("Shop"), "/l.svg"))[0][1])["potentialAction"]["@type"] == "SearchAction"
+
+
+def test_discount_eligibility(spark):
+    shape = (
+        "struct<type:string,amount:decimal(18,2),free_shipping:boolean,entitled_product_ids:array<bigint>,entitled_category_ids:array<bigint>,excluded_product_ids:array<bigint>>"
+    )
+    base = {"type": "percentage", "amount": 12.5, "free_shipping": False, "entitled_product_ids": [], "entitled_category_ids": [], "excluded_product_ids": []}
+    import json
+
+    cases = {
+        "ok": {}, "free_shipping": {"free_shipping": True, "amount": 0}, "mixed_free_shipping": {"free_shipping": True}, "unsupported_type": {"type": "unsupported"},
+        "category_restricted": {"entitled_category_ids": [1]}, "excluded_products": {"excluded_product_ids": [1]}, "unloaded_product": {"entitled_product_ids": [1, 9]},
+    }
+    loaded = F.array(F.lit(1).cast("bigint"))
+    got = one(spark, *[commerce.discount_eligibility(F.from_json(F.lit(json.dumps({**base, **c})), shape), loaded) for c in cases.values()])
+    assert [g.verdict for g in got] == list(cases)
+    assert got[0].fraction == Decimal("0.1250") and got[-1].missing_products == [9]
+
+
+def test_register_file(spark, tmp_path):
+    from cartloom.sources.files import REGISTER, read_exception_register
+
+    path = str(tmp_path / "register")
+    rows = [("product", "1", "a", "load", "high", "x", 'say "hi",\nthen', "client", "resolved", "{}")]
+    spark.createDataFrame(rows, REGISTER).write.csv(path, header=True, escape='"', quoteAll=True)
+    assert [tuple(r) for r in read_exception_register(spark, path).collect()] == rows
+    assert read_exception_register(spark, str(tmp_path / "none")).count() == 0
