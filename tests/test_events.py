@@ -10,9 +10,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from cartloom.functions import forms
 from cartloom.operators import events as ev
 from cartloom.streaming import jobs
+from test_expressions import signature
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -82,7 +82,7 @@ def test_deliveries_and_views(spark):
 def submissions(spark):
     def token(at):
         stamp = int(at.timestamp() * 1000) - 10_000
-        return f"{stamp}.{forms.form_signature(str(stamp), 'k')}"
+        return f"{stamp}.{signature(str(stamp), 'k')}"
 
     rows = []
     for i in range(9):

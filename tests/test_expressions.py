@@ -12,6 +12,15 @@ def one(spark, *cols):
     return tuple(spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).first())
 
 
+def signature(stamp, secret):
+    import base64
+    import hashlib
+    import hmac
+
+    digest = hmac.new(secret.encode(), stamp.encode(), hashlib.sha256).digest()
+    return base64.urlsafe_b64encode(digest).rstrip(b"=").decode()
+
+
 def words(*values):
     return F.array(*[F.lit(v) for v in values])
 
@@ -167,7 +176,7 @@ def test_forms(spark):
     assert set(got["bad"][0]) == {"first_name", "last_name", "email", "phone", "message"}
     assert got["bad"][1].subject == "s Bcc: x"
     secret, now = "k", 1_000_000_000_000
-    sign = lambda t: f"{t}.{forms.form_signature(str(t), secret)}"
+    sign = lambda t: f"{t}.{signature(str(t), secret)}"
     tokens = {
         "": "missing", "x.y": "malformed", str(now): "malformed", f"{now - 9000}.bad": "signature", sign(now - 1000): "too_fast",
         sign(now - 4_000_000): "expired", sign(now + 4000): "too_fast", sign(now + 9000): "malformed", sign(now - 9000): "ok",
@@ -186,6 +195,9 @@ def test_webhook_signature_and_topics(spark):
 
     body = b'{"handle":" tee "}'
     good = base64.b64encode(hmac.new(b"k", body, hashlib.sha256).digest()).decode()
+    long = base64.b64encode(hmac.new(b"x" * 80, body, hashlib.sha256).digest()).decode()
+    wide = spark.createDataFrame([(bytearray(body), long)], "body binary, hmac string")
+    assert wide.select(forms.verify_hmac(F.col("body"), F.col("hmac"), "x" * 80)).first()[0]
     df = spark.createDataFrame([(bytearray(body), h) for h in (good, "junk", None, good[:-4])], "body binary, hmac string")
     assert [r[0] for r in df.select(forms.verify_hmac(F.col("body"), F.col("hmac"), "k")).collect()] == [True, False, False, False]
     plans = one(
