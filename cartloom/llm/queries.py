@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import fingerprint, langid, line_dedup, mixing, secrets, topk
+from cartloom.llm import fingerprint, langid, line_dedup, lm, mixing, ngram_join, secrets, sentencepiece_match, topk
 from cartloom.llm.common import table
 
 QUERIES: dict = {}
@@ -30,11 +30,28 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = langid.held_out(docs, 5)
+    return lm.score_texts(docs, ~held).withColumn("held_out", held)
+
+
 @query("op3_fingerprints")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, folder, "documents"))
 
 
+@query("op5_ngram_jaccard")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_match.encode_documents(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
 @query("op7_line_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text", "source"))
