@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import fingerprint, langid, line_dedup, lm, mixing, ngram_join, secrets, sentencepiece_match, topk
+from cartloom.llm import fingerprint, html_extract, langid, line_dedup, lm, mixing, ngram_join, secrets, sentencepiece_match, topk
 from cartloom.llm.common import table
 
 QUERIES: dict = {}
@@ -42,6 +42,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, folder, "documents"))
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
 @query("op5_ngram_jaccard")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, folder, "documents"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
 
 from cartloom.llm.common import slices, span_hashes, utf8
 
@@ -318,7 +318,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, text
     vocabulary = vocabulary or load()
     keep = [c for c in docs.columns if c not in (out_col, "n_pieces", "round_trip")]
     schema = StructType([docs.schema[c] for c in keep])
-    for name, kind in ((out_col, "array<int>"), ("n_pieces", "long"), ("round_trip", "boolean")):
+    for name, kind in ((out_col, ArrayType(IntegerType())), ("n_pieces", LongType()), ("round_trip", BooleanType())):
         schema = schema.add(name, kind)
 
     def run(batches):
