@@ -49,7 +49,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, site_col: str = "source") -
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*keep).withColumn("_doc", F.xxhash64("text"))
     lines = site_lines(base, site_col)
-    common = boilerplate_lines(lines, min_sites)
+    common = saved(boilerplate_lines(lines, min_sites))  # so that the join reads two plain shuffles, which Spark can split
     here = F.struct("doc_id", "_doc", "at")
     gone = lines.join(common, "line").where(~here.eqNullSafe(F.col("first"))).groupBy("doc_id", "_doc").agg(F.collect_set("at").alias("_gone"))
     # A document's own line numbers bound the list.
