@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import SLICE_BYTES, saved, slices, span_hashes, utf8
+from cartloom.llm.common import SLICE_BYTES, slices, span_hashes, utf8
 
 #: Chunk lengths in bytes: no boundary before LEAST, the strict mask up to NORMAL, the loose one up to MOST.
 LEAST, NORMAL, MOST = 12, 32, 128
@@ -114,10 +115,8 @@ def spliced(text: str, following: str) -> str:
 
 
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double,"
-    " near_next double, part int, kind string, text string"
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 )
-COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
 def compared(ids: list, texts: list[str]) -> dict[str, list]:
@@ -134,12 +133,21 @@ def compared(ids: list, texts: list[str]) -> dict[str, list]:
     }
 
 
-def arrow_rows(rows: dict[str, list], part: int, kind: str) -> pa.RecordBatch:
-    n = len(next(iter(rows.values())))
-    types = {"doc_id": pa.int64(), "n_chars": pa.int64(), "near_edited": pa.float64(), "near_next": pa.float64(), "part": pa.int32()}
-    full = rows | {"part": [part] * n, "kind": [kind] * n}
-    names = [*COLUMNS, "part", "kind", "text"]
-    return pa.record_batch([pa.array(full.get(c, [None] * n), types.get(c, pa.string())) for c in names], names)
+def arrow_rows(rows: dict[str, list]) -> pa.RecordBatch:
+    types = {"doc_id": pa.int64(), "n_chars": pa.int64(), "near_edited": pa.float64(), "near_next": pa.float64()}
+    return pa.record_batch([pa.array(v, types.get(k, pa.string())) for k, v in rows.items()], list(rows))
+
+
+def range_number(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are not above the key, found in two steps of about the root of their number."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    literal = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    upto = F.greatest(F.size(F.filter(literal([g[0] for g in groups], "array<long>"), lambda b: b <= key)) - 1, F.lit(0))
+    inner = F.size(F.filter(F.get(literal(groups, "array<array<long>>"), upto), lambda b: b <= key))
+    return (upto * step + inner).cast("int")
 
 
 def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -148,8 +156,9 @@ def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> Dat
     Texts are cut by a gear hash with normalised chunk lengths; a fingerprint is the set of chunk digests with their
     lengths, as hex. Likeness is containment: the share of a document's distinct chunk bytes that the other has.
 
-    Rows are range-partitioned and sorted by doc_id once; a task meets each document's successor as it streams. The
-    last document of a partition is settled with the first of the next one that has rows: two texts per partition.
+    Ids are cut into ranges at quantiles (the driver holds the bounds, four for each partition). Texts are shuffled once, by range and
+    sorted; each range also gets a copy of the next range's first document, so that a task meets every document's successor as
+    it streams.
 
     Null text is empty; two empty texts are alike (1), an empty and a full one are not (0). Null ids come first; rows
     of one id are ordered by text. The last document's successor is the first one (itself, if alone). Extra
@@ -157,44 +166,33 @@ def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> Dat
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("_key", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    cuts = rows.approxQuantile("_key", [i / (4 * n) for i in range(1, 4 * n)], 1 / (40 * n))
+    rows = rows.withColumn("_range", range_number(F.col("_key"), sorted({int(c) for c in cuts})))
+    firsts = [tuple(r) for r in rows.groupBy("_range").agg(F.min("_key")).orderBy("_range").collect()]
+    before = [(firsts[i][1], firsts[i - 1][0]) for i in range(len(firsts))]  # the first one stands before the last range's end
+    heads = spark.createDataFrame(before, "_key long, _before int")
+    copies = rows.join(F.broadcast(heads), "_key").groupBy("_before").agg(F.min("text").alias("text"))
+    copies = copies.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("_key"), F.col("_before").alias("_range"), F.lit(1).alias("_copy"))
+    dealt = rows.withColumn("_copy", F.lit(0)).union(copies).repartition(n, "_range").sortWithinPartitions("_range", "_copy", "_key", "text")
 
     def stream(batches):
-        from pyspark import TaskContext
-
-        part, kept = TaskContext.get().partitionId(), None
+        kept = None  # (range, id, text) of a document whose successor comes next
         for batch in batches:
-            if not batch.num_rows:
-                continue
             _, offsets = utf8(batch.column("text"))
             for first, last in slices(offsets, 4 * SLICE_BYTES):
                 piece = batch.slice(first, last - first)
-                ids, texts = piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()
-                if kept is None:
-                    yield arrow_rows({"doc_id": ids[:1], "text": texts[:1]}, part, "head")
-                else:
-                    ids, texts = [kept[0], *ids], [kept[1], *texts]
-                kept = ids[-1], texts[-1]
-                if len(texts) > 1:
-                    yield arrow_rows(compared(ids, texts), part, "done")
-        if kept is not None:
-            yield arrow_rows({"doc_id": [kept[0]], "text": [kept[1]]}, part, "open")
-
-    streamed = saved(ordered.mapInArrow(stream, RESULT))
-    done = streamed.where("kind = 'done'").select(*COLUMNS)
-    # One head and one open row for each partition that has rows; only part numbers are ordered in one task.
-    parts = streamed.where("kind = 'head'").select("part")
-    follow = parts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"), F.min("part").over(Window.orderBy("part")).alias("first"))
-    follow = follow.select("part", F.coalesce("next", "first").alias("next"))
-    heads = streamed.where("kind = 'head'").select(F.col("part").alias("next"), F.col("text").alias("following"))
-    ends = streamed.where("kind = 'open'").select("part", "doc_id", "text").join(follow, "part").join(heads, "next")
-
-    def settle(batches):
-        for batch in batches:
-            for one in batch.to_pylist():
-                row = compared([one["doc_id"], None], [one["text"], one["following"]])
-                yield arrow_rows(row, 0, "done").select(COLUMNS)
-
-    schema = RESULT.split(", part")[0]
-    return done.union(ends.select("doc_id", "text", "following").mapInArrow(settle, schema))
+                ids, texts, ranges, copied = (piece.column(c).to_pylist() for c in ("doc_id", "text", "_range", "_copy"))
+                if kept is not None:
+                    ids, texts, ranges, copied = [kept[0], *ids], [kept[1], *texts], [kept[2], *ranges], [0, *copied]
+                # A range ends with its copy; every document but that has its successor after it.
+                low = 0
+                for at in range(len(ids)):
+                    if copied[at] or at == len(ids) - 1:
+                        if at > low:
+                            yield arrow_rows(compared(ids[low : at + 1], texts[low : at + 1]))
+                        low = at + 1
+                kept = None if copied[-1] else (ids[-1], texts[-1], ranges[-1])
+
+    return dealt.select("doc_id", "text", "_range", "_copy").mapInArrow(stream, RESULT)

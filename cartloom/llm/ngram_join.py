@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from cartloom.llm.common import mix, saved, slices, span_hashes, utf8, words
 from cartloom.llm.components import components
 
-FRAGMENT_SHINGLES = 1_500_000
+FRAGMENT_SHINGLES = 3_000_000
 FLUSH_SHINGLES = 1_500_000
+#: Bytes kept of a shingle's hash in a fragment; the fragment's number gives the high bits.
+KEPT_BYTES = 7
+#: Parts of the global order in which the overlaps of a pair are counted.
+SEGMENTS = 8
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -73,7 +77,7 @@ def fragments(docs: DataFrame, k: int, n: int) -> DataFrame:
     def flush(sets: list[np.ndarray]):
         keys, sizes = np.array([set_key(s) for s in sets], np.int64), np.array([len(s) for s in sets], np.int64)
         shingles, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        cell = (((shingles >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.uint16 if n <= 65536 else np.int64)
+        cell = (shingles >> np.uint64(64 - n.bit_length() + 1)).astype(np.uint16 if n <= 65536 else np.int64)
         order = np.argsort(cell, kind="stable")
         shingles, of, cell = shingles[order], of[order], cell[order]
         edges = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
@@ -84,7 +88,7 @@ def fragments(docs: DataFrame, k: int, n: int) -> DataFrame:
             who = owners[heads]
             counts = np.diff(np.concatenate((heads, [high - low]))).astype(np.int32)
             for column, value in zip(columns, (int(cell[low]), keys[who].tobytes(), sizes[who].astype(np.int32).tobytes(), counts.tobytes(),
-                                               shingles[low:high].tobytes()), strict=True):
+                                               shingles[low:high].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()), strict=True):
                 column.append(value)
         types = [pa.int32(), *[pa.binary()] * 4]
         return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["fragment", "keys", "sizes", "counts", "shingles"])
@@ -107,15 +111,20 @@ def fragments(docs: DataFrame, k: int, n: int) -> DataFrame:
     return docs.select("text").mapInArrow(cut, PACKED)
 
 
-SHARED = "key long, n long, fragment int, shingles array<long>, spread array<int>"
+SHARED = "key long, n long, shingles array<long>, spread array<int>"
 
 
-def shared_shingles(packed: DataFrame) -> DataFrame:
+def shared_shingles(packed: DataFrame, n: int) -> DataFrame:
     """In each fragment: the shingles that two or more different sets have, with the number of sets (``spread``)."""
 
     def count(group: pa.Table) -> pa.Table:
         join = lambda name, kind: np.frombuffer(b"".join(group[name].to_pylist()), kind)
-        keys, sizes, counts, shingles = join("keys", np.int64), join("sizes", np.int32), join("counts", np.int32), join("shingles", np.uint64)
+        keys, sizes, counts, raw = join("keys", np.int64), join("sizes", np.int32), join("counts", np.int32), join("shingles", np.uint8)
+        wide = np.zeros((len(raw) // KEPT_BYTES, 8), np.uint8)
+        wide[:, :KEPT_BYTES] = raw.reshape(-1, KEPT_BYTES)
+        # The hash again, but for the bits between the fragment's number and the kept bytes.
+        high = np.uint64(int(group["fragment"][0].as_py()) << (64 - n.bit_length() + 1)) if n > 1 else np.uint64(0)
+        shingles = wide.view("<u8").ravel() | (high & ~np.uint64((1 << 8 * KEPT_BYTES) - 1))
         of = np.repeat(np.arange(len(keys), dtype=np.int64), counts)
         order = np.argsort(shingles, kind="stable")
         shingles, of = shingles[order], of[order]
@@ -139,8 +148,7 @@ def shared_shingles(packed: DataFrame) -> DataFrame:
         heads = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (size[1:] != size[:-1])))) if len(own) else np.zeros(0, np.int64)
         offsets = np.concatenate((heads, [len(own)])).astype(np.int32)
         lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (shingles.view(np.int64), spread.astype(np.int32))]
-        where = np.full(len(heads), group["fragment"][0].as_py() if group.num_rows else 0, np.int32)
-        return pa.table({"key": own[heads], "n": size[heads].astype(np.int64), "fragment": where, "shingles": lists[0], "spread": lists[1]})
+        return pa.table({"key": own[heads], "n": size[heads].astype(np.int64), "shingles": lists[0], "spread": lists[1]})
 
     return packed.groupBy("fragment").applyInArrow(count, SHARED)
 
@@ -154,63 +162,77 @@ def alike_sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def between(rows: DataFrame, x: str, y: str, percent: int) -> DataFrame:
+    """Distinct pairs (a, na, b, nb), the smaller node first, of different nodes whose sizes allow a link."""
+    low, high = F.least(x, y), F.greatest(x, y)
+    pairs = rows.select(low["key"].alias("a"), low["n"].alias("na"), high["key"].alias("b"), high["n"].alias("nb"))
+    return pairs.where(((F.col("a") != F.col("b")) | (F.col("na") != F.col("nb"))) & alike_sizes("na", "nb", percent)).distinct()
+
+
+def as_nodes(links: DataFrame) -> DataFrame:
+    return links.select(F.struct(F.col("a").alias("key"), F.col("na").alias("n")).alias("a"), F.struct(F.col("b").alias("key"), F.col("nb").alias("n")).alias("b"))
+
+
 def verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that link: overlaps are counted in each fragment by itself and summed."""
-    left = segments.select(F.col("key").alias("a"), F.col("n").alias("na"), "fragment", F.col("shingles").alias("_left"))
-    right = segments.select(F.col("key").alias("b"), F.col("n").alias("nb"), "fragment", F.col("shingles").alias("_right"))
-    parts = pairs.join(left, ["a", "na"]).join(right, ["b", "nb", "fragment"])
+    """The pairs (a, na, b, nb) that link: overlaps are counted in each part of the order by itself and summed."""
+    left = segments.select(F.col("key").alias("a"), F.col("n").alias("na"), "segment", F.col("shingles").alias("_left"))
+    right = segments.select(F.col("key").alias("b"), F.col("n").alias("nb"), "segment", F.col("shingles").alias("_right"))
+    parts = pairs.join(left, ["a", "na"]).join(right, ["b", "nb", "segment"])
     sums = parts.groupBy("a", "na", "b", "nb").agg(F.sum(F.size(F.array_intersect("_left", "_right"))).alias("both"))
     return sums.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "na", "b", "nb")
 
 
 def set_links(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, n, root): the component of every set that links with another one."""
-    total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    count = max(8, -(-int(total) // FRAGMENT_SHINGLES))
-    shared = saved(shared_shingles(fragments(docs, k, count)))
-
-    # A set that shares fewer shingles than its smallest overlap links with nothing.
-    known = shared.groupBy("key", "n").agg(F.sum(F.size("shingles")).alias("known")).where(F.col("known") >= needed(F.col("n"), percent))
-    able = shared.join(known, ["key", "n"])
-    coarse = F.floor(F.col("fragment") * 8 / count).cast("int")
-    cells = F.flatten(F.collect_list(F.arrays_zip("spread", "shingles")))  # a set's own shingles bound it
-    segments = saved(able.groupBy("key", "n", "known", coarse.alias("fragment")).agg(cells.alias("cells")))
+    total = int(sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0])
+    count = 8  # a power of two, so that the hash's high bits are the fragment
+    while count * FRAGMENT_SHINGLES < total:
+        count *= 2
+    shared = shared_shingles(fragments(docs, k, count), count)
+
+    # A set that shares fewer shingles than its smallest overlap links with nothing. A set's own shingles bound its list.
+    whole = shared.groupBy("key", "n").agg(F.flatten(F.collect_list(F.arrays_zip("spread", "shingles"))).alias("cells"))
+    able = whole.where(F.size("cells") >= needed(F.col("n"), percent))
+    # Typical sets share their shingles with the most others.
+    weight = F.aggregate("cells", F.lit(0).cast("long"), lambda acc, c: acc + c["spread"]) * 1000 / F.col("n")
+    able = saved(able.select("key", "n", weight.cast("long").alias("weight"), F.array_sort("cells").alias("cells")))
 
     # Prefix in the global order (rarest first; shingles of one set only stand before all shared ones).
-    ordered = segments.groupBy("key", "n", "known").agg(F.array_sort(F.flatten(F.collect_list("cells"))).alias("cells"))
-    length = F.col("n") - needed(F.col("n"), percent) + 1 - (F.col("n") - F.col("known"))
-    index = saved(ordered.select("key", "n", F.explode(F.slice("cells", F.lit(1), length.cast("int"))).alias("c")).select(
-        F.col("c.shingles").alias("shingle"), "key", "n"))
-    segments = segments.select("key", "n", "fragment", F.col("cells.shingles").alias("shingles"))
-
-    # First each holder of a prefix shingle is held against one other: the smallest, then the largest of them.
+    length = F.col("n") - needed(F.col("n"), percent) + 1 - (F.col("n") - F.size("cells"))
+    prefix = F.slice("cells", F.lit(1), length.cast("int"))
     node = F.struct("key", "n")
-    links = tried = None
-    for pick in (F.min, F.max):
-        hub = index.groupBy("shingle").agg(pick(node).alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
-        pairs = index.join(hub, "shingle").where(node != F.col("hub")).select(
-            F.least(node, F.col("hub")).alias("x"), F.greatest(node, F.col("hub")).alias("y"))
-        pairs = pairs.select(F.col("x.key").alias("a"), F.col("x.n").alias("na"), F.col("y.key").alias("b"), F.col("y.n").alias("nb"))
-        pairs = pairs.where(alike_sizes("na", "nb", percent)).distinct()
-        pairs = saved(pairs if tried is None else pairs.join(tried, ["a", "na", "b", "nb"], "left_anti"))
-        good = saved(verified(pairs, segments, percent))
-        tried, links = (pairs, good) if tried is None else (tried.union(pairs), links.union(good))
-    as_nodes = lambda df: df.select(F.struct(F.col("a").alias("key"), F.col("na").alias("n")).alias("a"),
-                                    F.struct(F.col("b").alias("key"), F.col("nb").alias("n")).alias("b"))
+    index = saved(able.select(node.alias("node"), "weight", F.posexplode(prefix).alias("at", "c"), length.alias("length")).select(
+        F.col("c.shingles").alias("shingle"), "node", "weight", (F.col("at") == F.least(F.col("length"), F.lit(1 << 30)) - 1).alias("last")))
+    cut = able.select("key", "n", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("segment"), F.col("cells.shingles").alias("shingles"))
+    segments = saved(cut.withColumn("shingles", F.filter("shingles", lambda x: F.shiftrightunsigned(x, 61) == F.col("segment"))))
+
+    # The most typical holder of a shingle is tried with the others: first by each set's last prefix shingle only, then by all of
+    # those whose holders are still in different components.
+    typical = F.max(F.struct("weight", "node"))["node"]
+    hubs = saved(index.groupBy("shingle").agg(typical.alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c"))
+    pairs = between(index.where("last").join(hubs, "shingle"), "node", "hub", percent)
+    tried = saved(pairs)
+    links = saved(verified(tried, segments, percent))
     roots = components(as_nodes(links))
-
-    # Then every pair of holders that are still in different components: nothing else can join two of them.
-    placed = index.select("shingle", node.alias("node")).join(roots, "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shingle")
-    open_ = saved(placed.join(mixed, "shingle", "left_semi"))
-    left = open_.select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"))
-    right = open_.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry"))
-    across = left.join(right, "shingle").where((F.col("rx") != F.col("ry")) & (F.col("x") < F.col("y")) & alike_sizes("x.n", "y.n", percent))
-    across = across.select(F.col("x.key").alias("a"), F.col("x.n").alias("na"), F.col("y.key").alias("b"), F.col("y.n").alias("nb")).distinct()
-    across = across.join(tried, ["a", "na", "b", "nb"], "left_anti")
-    more = saved(verified(across, segments, percent))
-    if not more.isEmpty():
-        roots = components(as_nodes(links.union(more)))
+    for everything in (False, True):
+        placed = index.select("shingle", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), typical.alias("hub")).where("low <> high")
+        if everything:
+            # Last, every pair of holders in different components: nothing else can join two of them.
+            here = saved(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
+            left = here.select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"))
+            pairs = left.join(here.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry")), "shingle").where("rx <> ry and x < y")
+            pairs = between(pairs, "x", "y", percent)
+        else:
+            hub_root = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+            pairs = placed.join(mixed.select("shingle", "hub"), "shingle").join(hub_root, "hub", "left")
+            pairs = between(pairs.where(F.col("root") != F.coalesce("hub_root", "hub")), "node", "hub", percent)
+        pairs = saved(pairs.join(tried, ["a", "na", "b", "nb"], "left_anti"))
+        more = saved(verified(pairs, segments, percent))
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(as_nodes(links))
+        tried = tried.union(pairs)
     return roots.select(F.col("node.key").alias("key"), F.col("node.n").alias("n_shingles"), "root")
 
 
@@ -223,11 +245,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     The hashed shingles have one global order, cut into fragments of about FRAGMENT_SHINGLES. A fragment's task finds how many
     different sets hold each shingle; equal sets are one. Sets that can't reach the threshold with the shingles they
     share leave. The rest are candidates where they meet in a prefix shingle, rarest first. The overlap of a pair is counted
-    in each fragment separately and summed. Candidates are first tried against one holder of the shingle, then against all holders in other
-    components; pairs within a component can't change the result. So no link between different sets is lost.
+    in each part of the order separately and summed. Candidates are first tried against the most typical holder of the shingle, then against all
+    holders in other components; pairs within a component can't change the result. So no link between different sets is lost.
 
     Null, empty and blank texts have no shingles and link with nothing (their own id). Repeated rows of one id belong together if
-    their texts link. Extra columns are left out. An empty table gives no rows. Shingles are known by 64-bit hashes.
+    their texts link. Extra columns are left out. An empty table gives no rows. Shingles are known by hashes of 59 or more bits.
     """
     sets = saved(document_sets(docs, k))
     roots = set_links(docs, sets, k, percent)
