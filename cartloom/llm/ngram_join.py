@@ -182,6 +182,56 @@ def verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return sums.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "na", "b", "nb")
 
 
+#: Up to so many sets around a hub, their pairs are listed; beyond it they are filtered by what tells them from the hub.
+LISTED_SETS = 64
+
+
+def across(here: DataFrame, able: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of holders (shingle, hub, node, root, hub_root) of a shingle that are in different components.
+
+    Around a hub with few sets the holders of each shingle are paired. Around one with many, each set is written as its
+    difference from the hub: x = hub ^ ex. Two sets differ by |ex| + |ey| - 2 |ex & ey|, so to link they must either both be
+    so near the hub that |ex| + |ey| is allowed, or have parts of their differences in common: then they meet in the prefixes of these
+    differences, rarest first, and their sketches differ in few bits. So a large group of near copies gives few pairs that don't link.
+    """
+    around = here.select("hub", "node", "root", "hub_root").distinct()
+    many = saved(around.groupBy("hub").count().where(F.col("count") > LISTED_SETS).select("hub"))
+    few = here.join(many, "hub", "left_anti")
+    left = few.select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"))
+    listed = left.join(few.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry")), "shingle").where("rx <> ry and x < y")
+
+    sets = able.select(F.struct("key", "n").alias("node"), F.col("cells.shingles").alias("own"))
+    centre = sets.select(F.col("node").alias("hub"), F.col("own").alias("_hub"))
+    near = around.join(many, "hub", "left_semi").join(sets, "node").join(centre, "hub")
+    # Shingles that no other set has are in no hub list and never in common.
+    alone = F.col("node.n") - F.size("own")
+    edits = F.concat(F.array_except("own", "_hub"), F.transform(F.array_except("_hub", "own"), F.bitwise_not))
+    most = F.floor(F.col("node.n") * (100 - percent) / percent)
+    near = near.select("hub", "node", "root", "hub_root", edits.alias("edits"), alone.alias("alone"), most.cast("long").alias("most"))
+    # A sketch of 256 bits: two sketches differ in no more bits than the sets in shingles.
+    bits = [F.expr(f"aggregate(filter(edits, e -> pmod(xxhash64(e, 1), 4) = {i}), 0L, (acc, e) -> acc | shiftleft(1L, cast(pmod(xxhash64(e), 64) AS int)))")
+            for i in range(4)]
+    near = saved(near.withColumn("sketch", F.struct("alone", *(b.alias(f"s{i}") for i, b in enumerate(bits)))))
+    cells = near.select("hub", "node", "root", "sketch", (F.col("most") + 1 - F.col("alone")).cast("int").alias("length"), F.explode("edits").alias("edit"))
+    cells = cells.where("length > 0")
+    common = cells.groupBy("hub", "edit").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+    ranked = cells.join(common, ["hub", "edit"]).groupBy("hub", "node", "root", "sketch", "length").agg(
+        F.array_sort(F.collect_list(F.struct("c", "edit", (F.col("low") != F.col("high")).alias("mixed")))).alias("cells"))
+    entries = ranked.select("hub", "node", "root", "sketch", F.explode(F.slice("cells", F.lit(1), F.col("length"))).alias("e"))
+    entries = saved(entries.where("e.mixed").select("hub", F.col("e.edit").alias("edit"), "node", "root", "sketch"))
+    left = entries.select("hub", "edit", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("sketch").alias("kx"))
+    alike = left.join(entries.select("hub", "edit", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("sketch").alias("ky")), ["hub", "edit"])
+    apart = F.expr("kx.alone + ky.alone + " + " + ".join(f"bit_count(kx.s{i} ^ ky.s{i})" for i in range(4)))
+    alike = alike.where((F.col("rx") != F.col("ry")) & (F.col("x") < F.col("y")) & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+
+    size = F.size("edits") + F.col("alone")
+    close = near.select("hub", "node", "root", size.alias("off"), "most", (F.col("root") != F.col("hub_root")).alias("outer")).where("off <= most")
+    left = close.where("outer").select("hub", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("off").alias("ox"))
+    sure = left.join(close.select("hub", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("off").alias("oy")), "hub").where(
+        (F.col("rx") != F.col("ry")) & ((F.col("ox") + F.col("oy")) * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
+    return between(listed.select("x", "y").union(alike.select("x", "y")).union(sure.select("x", "y")), "x", "y", percent)
+
+
 def set_links(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, n, root): the component of every set that links with another one."""
     total = int(sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0])
@@ -217,16 +267,10 @@ def set_links(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFra
     for everything in (False, True):
         placed = index.select("shingle", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), typical.alias("hub")).where("low <> high")
-        if everything:
-            # Last, every pair of holders in different components: nothing else can join two of them.
-            here = saved(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
-            left = here.select("shingle", F.col("node").alias("x"), F.col("root").alias("rx"))
-            pairs = left.join(here.select("shingle", F.col("node").alias("y"), F.col("root").alias("ry")), "shingle").where("rx <> ry and x < y")
-            pairs = between(pairs, "x", "y", percent)
-        else:
-            hub_root = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-            pairs = placed.join(mixed.select("shingle", "hub"), "shingle").join(hub_root, "hub", "left")
-            pairs = between(pairs.where(F.col("root") != F.coalesce("hub_root", "hub")), "node", "hub", percent)
+        hub_root = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+        here = placed.join(mixed.select("shingle", "hub"), "shingle").join(hub_root, "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
+        # Last, every pair of holders in different components: nothing else can join two of them.
+        pairs = across(saved(here), able, percent) if everything else between(here.where("root <> hub_root"), "node", "hub", percent)
         pairs = saved(pairs.join(tried, ["a", "na", "b", "nb"], "left_anti"))
         more = saved(verified(pairs, segments, percent))
         if not more.isEmpty():
