@@ -235,7 +235,7 @@ def across(here: DataFrame, able: DataFrame, percent: int) -> DataFrame:
 def set_links(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, n, root): the component of every set that links with another one."""
     total = int(sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0])
-    count = 8  # a power of two, so that the hash's high bits are the fragment
+    count = 64  # or more: a power of two, so that the hash's high bits are the fragment
     while count * FRAGMENT_SHINGLES < total:
         count *= 2
     shared = shared_shingles(fragments(docs, k, count), count)
