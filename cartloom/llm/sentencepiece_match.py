@@ -357,7 +357,7 @@ def decode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, ids_
         for batch in batches:
             column = batch.column(ids_col)
             ids = np.asarray(column.flatten(), np.int64)
-            ends = np.cumsum([len(x) if x is not None else 0 for x in column])
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             data, offsets = decode(vocabulary, ids, ends.astype(np.int64))
             raw = data.tobytes()
             texts = [raw[a:b].decode("utf-8", "replace") if v else None for a, b, v in zip(offsets[:-1], offsets[1:], column.is_valid().to_pylist(), strict=True)]
