@@ -58,12 +58,13 @@ def resolve_inventory(v: Column, parent: Column) -> Column:
     )
 
 
-def unique_handles(df: DataFrame, slug: str, id_: str, depth: int = 2) -> DataFrame:
+def unique_handles(df: DataFrame, slug: str, id_: str) -> DataFrame:
     """Add ``handle`` and ``taken_by``: the first id of a slug owns it, later ones get ``-<id>``.
 
     A suffixed handle counts as taken too: a later row whose own slug equals an earlier suffixed
     handle is suffixed as well. Such a row names its blocker by the trailing digits of its slug, so
-    one join on the unique id finds it; ``depth`` is how many such steps may follow one another.
+    one join on the unique id finds it. Each round joins only the rows suffixed in the last one and
+    the loop ends when no row changes, however many steps follow one another.
     """
     # ids and slugs only, kept once: the steps below read them several times
     owned = checkpointed(with_first(df.select(id_, slug), [slug], id_, out="_owner"))
@@ -72,16 +73,21 @@ def unique_handles(df: DataFrame, slug: str, id_: str, depth: int = 2) -> DataFr
     named = rows.where(F.col("taken_by").isNull() & F.col(slug).rlike(parts)).withColumn(
         "_names", F.regexp_extract(slug, parts, 2).try_cast("bigint")
     )
-    for _ in range(depth if not named.isEmpty() else 0):
-        suffixed = rows.where(F.col("taken_by").isNotNull()).select(
-            F.col(id_).alias("_blocker"), F.col(slug).alias("_blocker_slug")
+    fresh = rows.where(F.col("taken_by").isNotNull()).select(id_, slug)
+    found = None
+    while not named.isEmpty():
+        suffixed = fresh.select(F.col(id_).alias("_blocker"), F.concat_ws("-", slug, F.col(id_).cast("string")).alias("_full"))
+        hits = checkpointed(
+            named.join(suffixed, (F.col("_names") == F.col("_blocker")) & (F.col(slug) == F.col("_full")) & (F.col("_blocker") < F.col(id_)))
+            .select(id_, slug, "_blocker")
         )
-        full = F.concat_ws("-", F.col("_blocker_slug"), F.col("_blocker").cast("string"))
-        hits = (
-            named.join(suffixed, (F.col("_names") == F.col("_blocker")) & (F.col(slug) == full) & (F.col("_blocker") < F.col(id_)))
-            .select(id_, "_blocker")
-        )
-        rows = rows.join(hits, id_, "left").withColumn("taken_by", F.coalesce("taken_by", "_blocker")).drop("_blocker")
+        if hits.isEmpty():
+            break
+        found = hits if found is None else found.union(hits)
+        named = checkpointed(named.join(hits.select(id_), id_, "left_anti"))
+        fresh = hits.select(id_, slug)
+    if found is not None:
+        rows = rows.join(found.select(id_, "_blocker"), id_, "left").withColumn("taken_by", F.coalesce("taken_by", "_blocker")).drop("_blocker")
     suffix = F.concat_ws("-", F.col(slug), F.col(id_).cast("string"))
     handles = rows.select(id_, "taken_by", F.when(F.col("taken_by").isNotNull(), suffix).otherwise(F.col(slug)).alias("handle"))
     return df.join(handles, id_)

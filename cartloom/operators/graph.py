@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +12,17 @@ from cartloom.operators.exceptions import union_all
 from cartloom.session import checkpointed
 
 
-def walk(starts: DataFrame, edges: DataFrame, max_hops: int) -> DataFrame:
+def walk(starts: DataFrame, edges: DataFrame, max_hops: int | None) -> DataFrame:
     """Follow ``edges`` (``src, dst``; one per ``src``) from ``starts`` (``start, at, path``).
 
     Gives ``start, at, hops, path, ended`` with ``ended`` one of end, loop, bound. Each round joins
     only the rows still moving and checkpoints them, so lineage stays one join long and the loop
-    stops with the longest chain. The path array never exceeds ``max_hops`` entries.
+    stops with the longest chain. Without ``max_hops`` chains are followed to their end; a path holds as
+    many entries as its chain has hops.
     """
     moving = starts.select("start", "at", F.lit(0).alias("hops"), "path")
     done = []
-    for hop in range(max_hops + 1):
+    for hop in count():
         joined = moving.join(edges, F.col("at") == F.col("src"), "left")
         looped = F.array_contains("path", F.col("at"))
         state = F.when(F.col("dst").isNull(), "end").when(looped, "loop")
@@ -37,7 +40,7 @@ def walk(starts: DataFrame, edges: DataFrame, max_hops: int) -> DataFrame:
 
 
 def collapse_chains(
-    redirects: DataFrame, source: str = "source_path", destination: str = "destination", moved: Column | None = None, max_hops: int = 10
+    redirects: DataFrame, source: str = "source_path", destination: str = "destination", moved: Column | None = None, max_hops: int | None = 10
 ) -> DataFrame:
     """Redirects with their final destination and ``collapsed``, the number of hops taken out.
 

@@ -431,7 +431,7 @@ def with_evidence(rows: DataFrame, priority: int, evidence: Column, sitemap: Dat
     )
 
 
-def plugin_redirects(raw: DataFrame, published: DataFrame, max_hops: int = 100) -> DataFrame:
+def plugin_redirects(raw: DataFrame, published: DataFrame) -> DataFrame:
     """Rows of the source site's own redirects ``origin, target``, chains followed to their end.
 
     The last rule of an origin counts. A chain that does not end at a published product waits for a
@@ -449,7 +449,7 @@ def plugin_redirects(raw: DataFrame, published: DataFrame, max_hops: int = 100)
         .groupBy("source_path")
         .agg(F.max_by("destination", "seq").alias("destination"))
     )
-    ends = collapse_chains(rules, max_hops=max_hops)
+    ends = collapse_chains(rules, max_hops=None)
     live = published.select(F.col("slug").alias("_slug")).distinct().withColumn("_live", F.lit(True))
     d = F.when(
         F.col("_live"),

@@ -8,6 +8,8 @@ summaries back, so one key may hold a third of the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,13 @@ SLICE_SECONDS = 3_600
 QUANTILES = 4096
 
 
+def joined(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join by keys that may be null: null matches null, as in the partitions of a window."""
+    other = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(F.broadcast(other) if small else other, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def numbered(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,7 +63,7 @@ def numbered(
     fraction = (tail - F.col("_tail_low")) / (F.col("_tail_high") - F.col("_tail_low") + 1)
     place = fraction if len(spread) == 1 else head - F.col("_head_low") + fraction
     placed = (
-        df.join(F.broadcast(hot), keys, "left")
+        joined(df, hot, keys, "left", small=True)
         .withColumn("_place", F.when(F.col("_rows").isNotNull(), place))
         .drop("_head_low", "_tail_low", "_tail_high")
     )
@@ -62,7 +71,7 @@ def numbered(
     percents = F.split(F.lit(",".join(str(i / QUANTILES) for i in range(1, QUANTILES))), ",").cast("array<double>")
     step = F.greatest(F.lit(1), F.floor(F.lit(float(QUANTILES * max_rows)) / F.col("_rows")).cast("int"))
     splits = (
-        df.join(F.broadcast(hot), keys)
+        joined(df, hot, keys, small=True)
         .groupBy(*keys)
         .agg(
             F.percentile_approx(place, percents, F.lit(10000)).alias("_fine"),
@@ -72,8 +81,7 @@ def numbered(
     )
     here = F.col("_place")
     ranged = (
-        placed.drop("_rows")
-        .join(F.broadcast(splits), keys, "left")
+        joined(placed.drop("_rows"), splits, keys, "left", small=True)
         .withColumn("_range", F.coalesce(F.size(F.filter("_splits", lambda s: s < here)), F.lit(0)))
         .drop("_splits")
     )
@@ -88,9 +96,7 @@ def numbered(
     within = Window.partitionBy(*keys, "_range").orderBy(*order)
     return (
         # explicit, so a partitioning by the keys alone is not reused for a hot group
-        ranged.repartition(*keys, "_range")
-        .withColumn("_nth", F.row_number().over(within))
-        .join(F.broadcast(shifts), [*keys, "_range"], "left")
+        joined(ranged.repartition(*keys, "_range").withColumn("_nth", F.row_number().over(within)), shifts, [*keys, "_range"], "left", small=True)
         .withColumn(out, (F.col("_nth") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
         .drop("_nth", "_shift", "_range", "_place")
     )
@@ -110,7 +116,7 @@ def with_first(df: DataFrame, keys: Sequence[str], id_col: str, out: str = "firs
         .drop("_rows")
     )
     return (
-        df.join(repeated, keys, "left")
+        joined(df, repeated, keys, "left")
         .withColumn(out, F.coalesce("_first", F.col(id_col)))
         .drop("_first")
     )
@@ -142,9 +148,7 @@ def with_previous(
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
     return (
-        sliced.repartition(*keys, "_slice")
-        .withColumn("_lag", F.lag("_value").over(within))
-        .join(carry, [*keys, "_slice"], "left")
+        joined(sliced.repartition(*keys, "_slice").withColumn("_lag", F.lag("_value").over(within)), carry, [*keys, "_slice"], "left")
         .withColumn(out, F.coalesce("_lag", "_carry"))
         .drop("_slice", "_value", "_lag", "_carry")
     )
@@ -170,9 +174,7 @@ def with_running_max(
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.repartition(*keys, "_slice")
-        .withColumn("_here", F.max("_value").over(within))
-        .join(carry, [*keys, "_slice"], "left")
+        joined(sliced.repartition(*keys, "_slice").withColumn("_here", F.max("_value").over(within)), carry, [*keys, "_slice"], "left")
         .withColumn(out, F.greatest("_here", "_carry"))
         .drop("_slice", "_value", "_here", "_carry")
     )

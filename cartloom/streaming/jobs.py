@@ -173,13 +173,15 @@ def ledger_writer(folder: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: upsert a micro-batch of payload rows into the next ledger version.
 
     Version ``n`` is always built from ``n - 1``, so a repeated batch rewrites the same folder with
-    the same rows.
+    the same rows. Only the first batch starts with no version before it.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         name = lambda n: f"batch-{n:09d}"
-        previous = name(epoch - 1) if epoch and path_exists(spark, f"{folder}/{name(epoch - 1)}") else None
+        previous = name(epoch - 1) if epoch else None
+        if previous and not path_exists(spark, f"{folder}/{previous}"):
+            raise FileNotFoundError(f"ledger version {previous} is missing; a new ledger would lose its ids")
         last = batch.groupBy("resource", "key").agg(F.max_by(F.struct("payload", "checksum"), "seq").alias("l")).select("resource", "key", "l.*")
         merged = upsert(read_ledger(spark, folder, previous), last)
         next_version(merged).write.mode("overwrite").partitionBy("resource").parquet(f"{folder}/{name(epoch)}")

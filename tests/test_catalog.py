@@ -163,3 +163,10 @@ def test_audit(spark, shop):
     assert held == {"attribute_needs_decision": 1, "bundle_product": 1}
     content = quality.content_inventory(source["pages"], F.coalesce("content.raw", F.lit("")), shopdata.SITE, ["id"]).orderBy("id").first()
     assert (content.words, content.shortcodes, content.internal_links) == (2, "galleryx1", 1)
+
+
+def test_handles_follow_any_number_of_suffix_steps(spark):
+    slugs = ["x", "x", "x-2", "x-2-3", "x-2-3-4", "x-2-3-4-5"]
+    df = spark.createDataFrame([(i + 1, s) for i, s in enumerate(slugs)], "id long, slug string")
+    handles = {r.id: r.handle for r in catalog.unique_handles(df, "slug", "id").collect()}
+    assert handles == {1: "x", 2: "x-2", 3: "x-2-3", 4: "x-2-3-4", 5: "x-2-3-4-5", 6: "x-2-3-4-5-6"}

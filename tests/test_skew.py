@@ -47,3 +47,15 @@ def test_previous_and_running_max(spark):
 def test_with_first(spark):
     df = rows(spark).drop("ts")
     same(skew.with_first(df, ["k", "a"], "id"), df.withColumn("first_id", F.min("id").over(Window.partitionBy("k", "a"))))
+
+
+def test_null_keys_are_one_group(spark):
+    from datetime import datetime
+
+    from cartloom.operators.skew import with_first, with_previous
+
+    rows = [(1, None, datetime(2026, 1, 1, 1), "a"), (2, None, datetime(2026, 1, 1, 4), "b"), (3, "k", datetime(2026, 1, 1, 5), "c")]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp, v string")
+    assert {r.id: r.first_id for r in with_first(df, ["k"], "id").collect()} == {1: 1, 2: 1, 3: 3}
+    before = with_previous(df, ["k"], "ts", "id", F.col("v"), "last").collect()
+    assert {r.id: r["last"] and r["last"].value for r in before} == {1: None, 2: "a", 3: None}
