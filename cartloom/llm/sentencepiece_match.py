@@ -16,8 +16,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 UNKNOWN_SHOWN = " ⁇ "
 #: Units longer than this are merged one by one with a heap; encoded units kept from one slice for the next.
-LONG_UNIT, KEPT_UNITS = 256, 400_000
-SLICE = 4 << 20
+LONG_UNIT, KEPT_UNITS = 256, 200_000
+SLICE = 1 << 20
 
 
 @dataclass
