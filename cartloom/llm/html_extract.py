@@ -179,7 +179,8 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
                 texts = [t.encode("utf-8", "surrogatepass") for t, _ in found]
                 edges = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
                 own = span_hashes(np.frombuffer(b"".join(texts), np.uint8), edges[:-1], edges[1:])
-                lines.append([t for t, _ in found])
+                wanted = INSIDE if any(z == INSIDE for _, z in found) else OPEN
+                lines.append([t if z == wanted else None for t, z in found])  # other lines count by their hash only
                 zones.append([z for _, z in found])
                 hashes.append(own.view(np.int64))
             keep = [batch.column(c) for c in ("page_id", "url")]
@@ -188,18 +189,20 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
                 ["page_id", "url", "lines", "zones", "hashes"])
 
     found = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    read = saved(found.mapInArrow(cut, f"page_id long, url string, {EXTRACTED}"))
+    read = found.mapInArrow(cut, f"page_id long, url string, {EXTRACTED}")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*|[?#].*$", "")
-    mark = F.xxhash64("page_id", "url", "lines")
+    mark = F.xxhash64("page_id", "url", "hashes", "zones")
     keyed = read.select(host.alias("host"), path.alias("path"), mark.alias("mark"), "page_id", "url", "lines", "zones", "hashes")
+    # Pairs need hashes only; the texts are read again at the end rather than kept.
+    narrow = saved(keyed.select("host", "path", "mark", "hashes"))
     order = ["host", "path", "mark"]
-    placed = neighbours(keyed.select(*order).distinct(), order, n)
+    placed = neighbours(narrow.select(*order).distinct(), order, n)
     near = lambda side: F.when(F.col(side)["host"] == F.col("host"), common_prefix(F.col("path"), F.col(side)["path"])).otherwise(-1)
     placed = placed.withColumn("_b", F.coalesce(near("before"), F.lit(-1))).withColumn("_a", F.coalesce(near("after"), F.lit(-1)))
     pair = F.when((F.col("_b") < 0) & (F.col("_a") < 0), None).when(F.col("_a") > F.col("_b"), F.col("after")["mark"]).otherwise(F.col("before")["mark"])
     pairs = placed.select("mark", pair.alias("other"))
-    own = keyed.select("mark", "hashes").dropDuplicates(["mark"])
+    own = narrow.select("mark", "hashes").dropDuplicates(["mark"])
     sides = pairs.join(own, "mark").join(own.select(F.col("mark").alias("other"), F.col("hashes").alias("theirs")), "other", "left").select("mark", "hashes", "theirs")
 
     def differ(batches):
@@ -209,7 +212,7 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(shared, pa.list_(pa.bool_()))], ["mark", "shared"])
 
     marked = sides.mapInArrow(differ, "mark long, shared array<boolean>")
-    full = keyed.select("mark", "page_id", "url", "lines", "zones").join(marked, "mark")
+    full = keyed.select("mark", "page_id", "url", "lines", "zones").join(saved(marked), "mark")
     has_main = F.array_contains("zones", INSIDE)
     kept = F.filter(F.arrays_zip("lines", "zones", "shared"), lambda x: F.when(has_main, x["zones"] == INSIDE).otherwise((x["zones"] == OPEN) & ~x["shared"]))
     text = F.array_join(F.transform(kept, lambda x: x["lines"]), "\n")
