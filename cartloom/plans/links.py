@@ -220,9 +220,9 @@ def resolve_request(spark: SparkSession, folder: str) -> DataFrame:
     "priority_merge",
     f"""
     WITH k AS (SELECT page_id, path FROM ({PATH_SQL})),
-    l AS (SELECT DISTINCT lower(regexp_replace(href, '/+$', '')) AS path FROM ({HREF_SQL}) WHERE NOT regexp_matches(href, '[%?#&+]')),
+    l AS (SELECT DISTINCT coalesce(nullif(lower(regexp_replace(href, '/+$', '')), ''), '/') AS path FROM ({HREF_SQL})),
     r AS (SELECT path AS source_path, 1 AS priority, 'page' AS source_type, 'pages' AS evidence FROM k
-      UNION ALL SELECT path, 2, 'link', 'linked' FROM l WHERE path <> ''
+      UNION ALL SELECT path, 2, 'link', 'linked' FROM l
       UNION ALL SELECT path, 3, 'copy', 'again' FROM k WHERE path LIKE '%?%')
     SELECT source_path, arg_min(source_type, priority) AS source_type, string_agg(DISTINCT evidence, '; ' ORDER BY evidence) AS texts FROM r GROUP BY 1
     """,
@@ -232,8 +232,7 @@ def priority_merge(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     paths = pages.select(normalize_url(F.col("url")).alias("source_path"))
     hrefs = graph.link_frontier(pages, "page_id").select(F.regexp_extract("link", "^https?://[^/]*(.*)$", 1).alias("href"))
-    plain = hrefs.where(~F.col("href").rlike("[%?#&+]"))
-    links = plain.select(normalize_url(F.col("href")).alias("source_path")).where(F.col("source_path") != "/")
+    links = hrefs.select(normalize_url(F.col("href")).alias("source_path"))
 
     def source(df: DataFrame, priority: int, kind: str, evidence: str) -> DataFrame:
         return df.select("source_path", F.lit(priority).alias("priority"), F.lit(kind).alias("source_type"), F.lit(evidence).alias("evidence"))
@@ -360,23 +359,29 @@ def walk_hops(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "grade_redirects",
     f"""
-    WITH m AS ({MAP_SQL}), t AS (SELECT m.*, d.outcome AS next FROM m LEFT JOIN m d ON d.source_path = m.destination)
-    SELECT source_path, CASE outcome WHEN 'client_decision' THEN 'skipped' WHEN '410' THEN 'gone_410_ok' WHEN 'same_url' THEN 'single_hop_ok'
-      ELSE CASE WHEN destination = source_path THEN 'fail' WHEN destination = '/' THEN 'fail' WHEN next = 'same_url' THEN 'single_hop_ok' WHEN next IS NULL THEN 'fail' WHEN next = '301' THEN 'pending' ELSE 'fail' END END AS result FROM t
-    WHERE NOT (outcome = '301' AND coalesce(next, '') = '301' AND destination <> source_path)
+    WITH RECURSIVE m AS ({MAP_SQL}), e AS (SELECT source_path AS src, destination AS dst FROM m WHERE outcome = '301'),
+    w AS (SELECT source_path AS start, source_path AS node, 0 AS hops, []::VARCHAR[] AS path FROM m
+      UNION ALL SELECT w.start, e.dst, w.hops + 1, list_append(w.path, w.node) FROM w JOIN e ON e.src = w.node WHERE NOT list_contains(w.path, w.node) AND w.hops < 5),
+    l AS (SELECT start, arg_max(node, hops) AS landed, max(hops) AS walked FROM w GROUP BY 1),
+    g AS (SELECT m.*, l.landed, l.walked + CASE WHEN m.source_type = 'ECONOMY' THEN 1 ELSE 0 END AS hops, t.outcome AS last,
+      CASE m.outcome WHEN 'same_url' THEN m.source_path ELSE m.destination END AS target
+      FROM m JOIN l ON start = m.source_path LEFT JOIN m t ON t.source_path = l.landed)
+    SELECT source_path, CASE WHEN outcome = 'client_decision' THEN 'skipped' WHEN last IS NULL OR last = '301' THEN 'fail'
+      WHEN outcome = '410' THEN CASE WHEN hops = 0 THEN 'gone_410_ok' ELSE 'multi_hop' END
+      WHEN landed <> target THEN 'wrong_destination' WHEN last = 'same_url' THEN CASE WHEN hops <= 1 THEN 'single_hop_ok' ELSE 'multi_hop' END
+      WHEN last = 'client_decision' AND target LIKE '/p/1%' THEN 'destination_404' ELSE 'fail' END AS result FROM g
     """,
 )
 def grade_redirects(spark: SparkSession, folder: str) -> DataFrame:
-    """Map rows graded from the walked answers. Rows that point at another redirect are the business
-    of :func:`map_integrity` and left out here."""
+    """All map rows graded from the walked answers. Paths that the server owns take one hop more (their slash goes
+    first); pages under ``/p/1`` are not built yet."""
     rows = part_map(spark, folder)
+    owners = rows.select("source_path", F.when(F.col("owner") == "server", 1).otherwise(0).alias("_slash"))
     ends = walk_hops(spark, folder).select(
         F.col("start").alias("source_path"), "hops", F.col("final_url").alias("final_path"), "final_status"
     )
-    graded = redirects.grade_redirects(rows, ends)
-    moved = rows.where(F.col("outcome") == "301").select(F.col("source_path").alias("destination"), F.lit(True).alias("_again"))
-    chained = (F.col("outcome") == "301") & F.col("_again").isNotNull() & (F.col("destination") != F.col("source_path"))
-    return graded.join(moved, "destination", "left").where(~chained).select("source_path", "result")
+    seen = ends.join(owners, "source_path").withColumn("hops", F.col("hops") + F.col("_slash")).drop("_slash")
+    return redirects.grade_redirects(rows, seen, unbuilt=["/p/1"]).select("source_path", "result")
 
 
 @query(

@@ -153,20 +153,25 @@ def publish_plan(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "verify_ledger",
     """
-    WITH n AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1)
-    SELECT 'missing' AS finding, CAST(p_partkey AS VARCHAR) AS key, false AS noted FROM part WHERE p_brand = 'Brand#9'
-    UNION ALL SELECT 'variant_count_mismatch', CAST(p_partkey AS VARCHAR), false FROM part JOIN n ON l_partkey = p_partkey WHERE p_brand <> 'Brand#9' AND n <> p_size
-    UNION ALL SELECT 'field_drift', CAST(p_partkey AS VARCHAR), p_type <> 'LARGE' FROM part WHERE p_brand <> 'Brand#9' AND (p_type = 'LARGE' OR p_size > 25)
+    WITH n AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1),
+    v AS (SELECT DISTINCT l_partkey || '-' || l_suppkey AS key, l_partkey * 1000 + l_suppkey // 10 AS slot FROM lineitem)
+    SELECT 'missing' AS finding, 'Product' AS resource, CAST(p_partkey AS VARCHAR) AS key, false AS noted FROM part WHERE p_brand = 'Brand#9'
+    UNION ALL SELECT 'missing', resource, key, false FROM v CROSS JOIN (VALUES ('ProductVariant'), ('InventoryItem')) t(resource) WHERE slot % 3 = 0
+    UNION ALL SELECT 'variant_count_mismatch', 'Product', CAST(p_partkey AS VARCHAR), false FROM part JOIN n ON l_partkey = p_partkey WHERE p_brand <> 'Brand#9' AND n <> p_size
+    UNION ALL SELECT 'field_drift', 'Product', CAST(p_partkey AS VARCHAR), p_type <> 'LARGE' FROM part WHERE p_brand <> 'Brand#9' AND (p_type = 'LARGE' OR p_size > 25)
     """,
 )
 def verify_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """Products compared with the store, whose variant count is the part's size."""
+    """Every ledger row compared with the store: a product's variant count is the part's size, and every third
+    variant slot, with its stock, was deleted."""
     sizes = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("bigint").alias("variants_count"))
-    live = live_products(spark, folder).join(sizes, "id")
+    slot = F.col("l_partkey") * 1000 + F.floor(F.col("l_suppkey") / 10)
+    slots = table(spark, folder, "lineitem").where(slot % 3 != 0).select(slot.alias("slot")).distinct()
+    children = slots.select(F.explode(F.array(F.col("slot") + 10**10, F.col("slot") + 2 * 10**10)).alias("id"))
+    live = live_products(spark, folder).join(sizes, "id").unionByName(children, allowMissingColumns=True)
     findings = targets.verify_ledger(store_ledger(spark, folder), live)
-    products = findings.join(table(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("key")), "key", "left_semi")
     noted = F.coalesce(F.get_json_object("detail", "$.note").isNotNull(), F.lit(False))
-    return products.where(F.col("resource") == "Product").select("finding", "key", noted.alias("noted"))
+    return findings.select("finding", "resource", "key", noted.alias("noted"))
 
 
 STALE_SQL = """

@@ -12,13 +12,16 @@ from check_queries import compare  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
+#: Queries without a twin, each held against rows worked out by hand or by brute force elsewhere in the tests.
+NO_TWIN = {"variant_exceptions", "media_records", "rewritten_bodies", "product_json_ld", "content_words", "sanitize_pages", "rate_limit", "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, name):
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     result = compare(spark, FOLDER, name, entry.queries()[name], SQL.get(name))
-    assert result.startswith(("ok", "rows-only")), result
+    no_twin = name in NO_TWIN or name.startswith("op") and name not in SQL
+    assert result.startswith("rows-only" if no_twin else "ok"), result
 
 
 def test_entry(spark):
