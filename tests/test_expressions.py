@@ -135,6 +135,12 @@ def test_html(spark):
     )
     assert clean == '<p>a<a title="t&amp;quot;">k</a><img alt="q" /><br />z</p>'
     assert again == "<p>a<br />b</p>" and plain == "a & b" and cut == "word word w…"
+    forms = "<td colspan=2 rowspan = '3' Scope=a>x</td><a HREF=' http://a?b=1&c=2 ' x>y</a> 1 < 2 <img src='a\"b' alt='x<y>' />"
+    kept, none, long = one(
+        spark, html.sanitize_html(F.lit(forms)), html.sanitize_html(F.lit(None).cast("string")), F.length(html.sanitize_html(F.repeat(F.lit("x <b>"), 50000)))
+    )
+    assert kept == '<td colspan="2" rowspan="3">x</td><a href="http://a?b=1&amp;c=2">y</a> 1 < 2 <img alt="x&lt;y&gt;" />'
+    assert none == "" and long == 250000
 
 
 def test_commerce(spark):
