@@ -32,7 +32,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) is a temporary one made.
+    (local tests) is a temporary one made. Other masters need the setting: executors can't see the driver's folders.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -42,6 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="cartloom-ckpt-")
     spark.sparkContext.setCheckpointDir(made)
     return made

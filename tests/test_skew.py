@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -59,3 +60,13 @@ def test_null_keys_are_one_group(spark):
     assert {r.id: r.first_id for r in with_first(df, ["k"], "id").collect()} == {1: 1, 2: 1, 3: 3}
     before = with_previous(df, ["k"], "ts", "id", F.col("v"), "last").collect()
     assert {r.id: r["last"] and r["last"].value for r in before} == {1: None, 2: "a", 3: None}
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from cartloom.session import checkpoint_dir
+
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)
