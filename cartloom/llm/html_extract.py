@@ -157,10 +157,11 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars, n_lines, n_shared) of every page: the blocks of its article, joined by newlines.
 
     Each page is paired with the page of nearest URL path in its host: of its two neighbours in path order the one with the longer common
-    path. The text lines of both are aligned by a longest common subsequence, and lines that both have are deleted. Markup goes
-    first: blocks inside menus, headers, footers, sidebars, forms, adverts, notices and comments are never text, and
-    blocks of an ``article`` or ``main`` element are always (a page that repeats another's paragraph keeps it). So differencing
-    decides for the blocks that the markup says nothing of, and only for pages without a marked article.
+    path. The text lines of both are aligned by a longest common subsequence, and lines that both have are deleted, inside an
+    ``article`` or ``main`` element as well; lines outside of it that the markup says nothing of stay if the other page doesn't have
+    them. Markup decides in two cases: blocks inside menus, headers, footers, sidebars, forms, adverts, notices and comments are
+    never text, and where at least half of the characters in the page's articles are on shared lines, the two are copies
+    of one article rather than pages with the same surroundings, and the articles stay whole.
 
     Null and empty html give an empty text. A null or malformed url is a host of its own (the empty one) with the url as path. Pages alone in their host are
     compared with none. Rows of the same page_id, url and html are treated alike. Extra columns are left out; an empty table
@@ -179,8 +180,7 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
                 texts = [t.encode("utf-8", "surrogatepass") for t, _ in found]
                 edges = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
                 own = span_hashes(np.frombuffer(b"".join(texts), np.uint8), edges[:-1], edges[1:])
-                wanted = INSIDE if any(z == INSIDE for _, z in found) else OPEN
-                lines.append([t if z == wanted else None for t, z in found])  # other lines count by their hash only
+                lines.append([t if z != OUTSIDE else None for t, z in found])  # other lines count by their hash only
                 zones.append([z for _, z in found])
                 hashes.append(own.view(np.int64))
             keep = [batch.column(c) for c in ("page_id", "url")]
@@ -213,8 +213,11 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
 
     marked = sides.mapInArrow(differ, "mark long, shared array<boolean>")
     full = keyed.select("mark", "page_id", "url", "lines", "zones").join(saved(marked), "mark")
-    has_main = F.array_contains("zones", INSIDE)
-    kept = F.filter(F.arrays_zip("lines", "zones", "shared"), lambda x: F.when(has_main, x["zones"] == INSIDE).otherwise((x["zones"] == OPEN) & ~x["shared"]))
+    cells = F.arrays_zip("lines", "zones", "shared")
+    # Characters of the articles: on lines that are the page's own, less those on shared lines.
+    own_more = F.aggregate(cells, F.lit(0), lambda acc, x: acc + F.when(x["zones"] != INSIDE, 0).when(x["shared"], -F.length(x["lines"])).otherwise(F.length(x["lines"])))
+    full = full.withColumn("copies", own_more <= 0)
+    kept = F.filter(cells, lambda x: (x["zones"] != OUTSIDE) & (~x["shared"] | (F.col("copies") & (x["zones"] == INSIDE))))
     text = F.array_join(F.transform(kept, lambda x: x["lines"]), "\n")
     return full.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), F.size("lines").cast("long").alias("n_lines"),
                        F.size(F.filter("shared", lambda s: s)).cast("long").alias("n_shared"))

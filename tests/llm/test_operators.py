@@ -263,6 +263,15 @@ def test_pages(spark):
     assert html_extract.extract_pages(df.limit(0), 2).count() == 0
 
 
+def test_pages_differ_inside_articles(spark):
+    """Shared lines go inside an article too and unshared ones stay outside of it; an article that two pages have stays."""
+    page = "<nav>menu</nav><article><p>{0} has a story of its own</p><p>Read us daily</p></article><div>more of {0}</div><div>Site name</div>"
+    whole = "<main><p>The same long story</p><p>{}</p></main>"
+    rows = [(1, "http://h/a/1", page.format("one")), (2, "http://h/a/2", page.format("two")), (3, "http://g/1", whole.format("old")), (4, "http://g/2", whole.format("new"))]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), 2).collect()}
+    assert got == {1: "one has a story of its own\nmore of one", 2: "two has a story of its own\nmore of two", 3: "The same long story\nold", 4: "The same long story\nnew"}
+
+
 def test_longest_common_lines():
     import random
 
