@@ -157,14 +157,16 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars, n_lines, n_shared) of every page: the blocks of its article, joined by newlines.
 
     Each page is paired with the page of nearest URL path in its host: of its two neighbours in path order the one with the longer common
-    path. The text lines of both are aligned by a longest common subsequence, and lines that both have are deleted, inside an
+    path. Pages of a host with the same blocks, but for those the markup calls surroundings, are copies: they take one place in that
+    order, at the smallest of their paths, and are all compared with the page next to it, never with each other.
+    The text lines of both are aligned by a longest common subsequence, and lines that both have are deleted, inside an
     ``article`` or ``main`` element as well; lines outside of it that the markup says nothing of stay if the other page doesn't have
     them. Markup decides in two cases: blocks inside menus, headers, footers, sidebars, forms, adverts, notices and comments are
     never text, and where at least half of the characters in the page's articles are on shared lines, the two are copies
     of one article rather than pages with the same surroundings, and the articles stay whole.
 
     Null and empty html give an empty text. A null or malformed url is a host of its own (the empty one) with the url as path. Pages alone in their host are
-    compared with none. Rows of the same page_id, url and html are treated alike. Extra columns are left out; an empty table
+    compared with none. Extra columns are left out; an empty table
     gives no rows. Only line hashes are shuffled to the pairs; html is read by the page's own task.
     """
     spark = pages.sparkSession
@@ -192,16 +194,18 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     read = found.mapInArrow(cut, f"page_id long, url string, {EXTRACTED}")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*|[?#].*$", "")
-    mark = F.xxhash64("page_id", "url", "hashes", "zones")
-    keyed = read.select(host.alias("host"), path.alias("path"), mark.alias("mark"), "page_id", "url", "lines", "zones", "hashes")
+    keyed = read.select(host.alias("host"), path.alias("path"), "page_id", "url", "lines", "zones", "hashes")
+    blocks_of = F.filter(F.arrays_zip("hashes", "zones"), lambda x: x["zones"] != OUTSIDE)
+    keyed = keyed.withColumn("node", F.xxhash64("host", blocks_of)).withColumn("mark", F.xxhash64("host", "hashes", "zones"))
     # Pairs need hashes only; the texts are read again at the end rather than kept.
-    narrow = saved(keyed.select("host", "path", "mark", "hashes"))
+    narrow = saved(keyed.select("host", "path", "node", "mark", "hashes"))
     order = ["host", "path", "mark"]
-    placed = neighbours(narrow.select(*order).distinct(), order, n)
+    places = narrow.groupBy("host", "node").agg(F.min(F.struct("path", "mark")).alias("first")).select("host", "first.path", "node", "first.mark")
+    placed = neighbours(places, order, n)
     near = lambda side: F.when(F.col(side)["host"] == F.col("host"), common_prefix(F.col("path"), F.col(side)["path"])).otherwise(-1)
     placed = placed.withColumn("_b", F.coalesce(near("before"), F.lit(-1))).withColumn("_a", F.coalesce(near("after"), F.lit(-1)))
     pair = F.when((F.col("_b") < 0) & (F.col("_a") < 0), None).when(F.col("_a") > F.col("_b"), F.col("after")["mark"]).otherwise(F.col("before")["mark"])
-    pairs = placed.select("mark", pair.alias("other"))
+    pairs = narrow.select("node", "mark").distinct().join(placed.select("node", pair.alias("other")), "node").select("mark", "other")
     own = narrow.select("mark", "hashes").dropDuplicates(["mark"])
     sides = pairs.join(own, "mark").join(own.select(F.col("mark").alias("other"), F.col("hashes").alias("theirs")), "other", "left").select("mark", "hashes", "theirs")
 

@@ -272,6 +272,17 @@ def test_pages_differ_inside_articles(spark):
     assert got == {1: "one has a story of its own\nmore of one", 2: "two has a story of its own\nmore of two", 3: "The same long story\nold", 4: "The same long story\nnew"}
 
 
+def test_copied_pages_keep_their_text(spark):
+    """Copies under other ids, queries and paths are compared with the page next to them, not with each other."""
+    page = "<div>Site name</div><div>{}</div><div class='ad'>{}</div><p>All rights</p>"
+    rows = [(1, "http://h/a/1", page.format("one", "buy")), (2, "http://h/a/1?utm=x", page.format("one", "buy")), (3, "http://h/a/1#top", page.format("one", "sell")),
+            (4, "http://h/a/2", page.format("two", "buy")), (5, "http://h/b/9", page.format("one", "buy")), (5, "http://h/b/9", page.format("one", "buy")),
+            (6, "http://g/1", page.format("lone", "")), (7, "http://g/1", page.format("lone", ""))]
+    got = sorted((r.page_id, r.text, r.n_shared) for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), 2).collect())
+    lone = "Site name\nlone\nAll rights"
+    assert got == [(1, "one", 3), (2, "one", 3), (3, "one", 2), (4, "two", 3), (5, "one", 3), (5, "one", 3), (6, lone, 0), (7, lone, 0)]
+
+
 def test_longest_common_lines():
     import random
 
