@@ -56,16 +56,17 @@ def each_set(batch: pa.RecordBatch, text_col: str, k: int):
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, key, n_shingles) of every row."""
+    """(doc_id, text_hash, key, n_shingles) of every row."""
 
     def keys(batches):
         for batch in batches:
             for first, last, sets in each_set(batch, "text", k):
-                ids = batch.column("doc_id").slice(first, last - first)
-                yield pa.record_batch([ids, pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                                      ["doc_id", "key", "n_shingles"])
+                ids, hashes = (batch.column(c).slice(first, last - first) for c in ("doc_id", "text_hash"))
+                yield pa.record_batch([ids, hashes, pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
+                                      ["doc_id", "text_hash", "key", "n_shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(keys, "doc_id long, key long, n_shingles long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(keys, "doc_id long, text_hash long, key long, n_shingles long")
 
 
 PACKED = "fragment int, keys binary, sizes binary, counts binary, shingles binary"
@@ -295,7 +296,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     Null, empty and blank texts have no shingles and link with nothing (their own id). Repeated rows of one id belong together if
     their texts link. Extra columns are left out. An empty table gives no rows. Shingles are known by hashes of 59 or more bits.
     """
-    sets = saved(document_sets(docs, k))
+    sets = saved(document_sets(docs, k).drop("text_hash"))
     roots = set_links(docs, sets, k, percent)
     placed = sets.join(roots, ["key", "n_shingles"], "left").withColumn(
         "root", F.coalesce("root", F.struct("key", F.col("n_shingles").alias("n"))))
@@ -306,8 +307,18 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: the one of smallest doc_id in each group (rows that repeat its id go too)."""
-    groups = jaccard_components(docs, k, percent)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay: of each group of texts that link the one of smallest doc_id (null ids last) and text hash.
+
+    Rows are chosen by id and text, so rows of one id with texts of different groups are judged each, and so are rows without an id.
+    Texts without shingles are a group each. Of rows of equal doc_id and text one stays.
+    """
+    sets = saved(document_sets(docs, k))
+    placed = sets.join(set_links(docs, sets, k, percent), ["key", "n_shingles"], "left").withColumn(
+        "root", F.coalesce("root", F.struct("key", F.col("n_shingles").alias("n"))))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    first = placed.where("n_shingles > 0").groupBy("root").agg(F.min(row).alias("row")).select("row._id", "row._hash")
+    empty = sets.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    stay = first.union(empty)
+    hashed = docs.withColumn("_text", F.xxhash64("text"))
+    kept = hashed.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")

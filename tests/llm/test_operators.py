@@ -137,6 +137,14 @@ def test_jaccard_components(docs, local):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_by_row(spark):
+    """Rows without an id and rows that share an id are chosen by their texts."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (3, c), (7, c), (7, d), (8, None), (8, ""), (None, None), (9, d), (None, d)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, a), (None, b), (3, c), (7, d), (8, None), (8, ""), (None, None)]))
+
+
 def test_large_group_of_near_copies(spark, monkeypatch):
     """With the listing bound at 2, pairs around hubs come from the differences: same components as by brute force."""
     import random
