@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from cartloom.llm.common import mix, saved, slices, span_hashes, utf8, words
 
-#: Classes of the most common words and words in each; classes of all other words, by their last letters.
+#: Classes of the most common words and words in each, at least (see ``sizes``); classes of all other words, by their last letters.
 CORE_CLASSES, CLASS_WORDS, SHAPES = 24, 32, 8
-OUTPUTS = CORE_CLASSES + SHAPES
-#: Rows of the hashed weight tables.
+#: Rows of the hashed weight tables, at least.
 CLASS_BITS, WORD_BITS = 14, 15
 #: A word is listed (and sent to every task) if it makes up at least one in so many training tokens; so many words at most.
 LISTED = 400_000
@@ -67,6 +66,14 @@ def token_counts(docs: DataFrame, flush: int = 2_000_000) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def sizes(n: int, v: int) -> tuple[int, int, int]:
+    """Core classes, words in each and extra bits of the weight tables for ``n`` tokens of ``v`` words: classes and words grow
+    with the fourth root of the words each, so the core words with their square root, and the tables with the fourth root of
+    the tokens (beyond four million)."""
+    side = math.ceil(v**0.25)
+    return max(CORE_CLASSES, side), max(CLASS_WORDS, side), max(0, round((math.log2(max(n, 1)) - 22) / 4))
+
+
 @dataclass
 class Model:
     """Counts of listed words, the classes, and the weights."""
@@ -77,7 +84,7 @@ class Model:
     counts: np.ndarray
     slots: np.ndarray
     bits: int
-    place: np.ndarray  # class * CLASS_WORDS + number of a core word, or -1
+    place: np.ndarray  # class * (words in a class) + number of a core word, or -1
     discount: float
     shape_tokens: np.ndarray
     shape_words: np.ndarray
@@ -102,12 +109,11 @@ class Model:
         return out
 
     def features(self, h: np.ndarray, known: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-        """Hashes of the last word, the last two, and the one before the last; words not listed count by their shape."""
-        seen = np.where(known >= 0, h, (h & np.uint64(SHAPES - 1)) + np.uint64(3 * SHAPES))
+        """Hashes of the last word, the last two, and the one before the last, whether or not the words are listed."""
         back = []
         for k in (1, 2):
             past = np.zeros(len(h), np.uint64)
-            past[k:] = np.where(rows[k:] == rows[:-k], seen[:-k], 0)
+            past[k:] = np.where(rows[k:] == rows[:-k], h[:-k], 0)
             back.append(past)
         return [mix(back[0] + np.uint64(1)), mix(mix(back[0]) + back[1] * _SEED + np.uint64(2)), mix(back[1] * _SEED + np.uint64(3))]
 
@@ -115,8 +121,9 @@ class Model:
         """Class of each token, and its number in a core class or -1."""
         place = np.where(known >= 0, self.place[known], -1) if len(self.place) else np.full(len(h), -1)
         core = place >= 0
-        shape = CORE_CLASSES + (h & np.uint64(SHAPES - 1)).astype(np.int64)
-        return np.where(core, place // CLASS_WORDS, shape), np.where(core, place % CLASS_WORDS, -1)
+        classes, wide = self.word_bias.shape
+        shape = classes + (h & np.uint64(SHAPES - 1)).astype(np.int64)
+        return np.where(core, place // wide, shape), np.where(core, place % wide, -1)
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
@@ -124,12 +131,12 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def class_rows(f: np.ndarray) -> np.ndarray:
-    return (f >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
+def class_rows(f: np.ndarray, table_rows: int = 1 << CLASS_BITS) -> np.ndarray:
+    return (f >> np.uint64(65 - table_rows.bit_length())).astype(np.int64)
 
 
-def word_rows(f: np.ndarray, of: np.ndarray) -> np.ndarray:
-    return (mix(f + of.astype(np.uint64) * _SEED) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+def word_rows(f: np.ndarray, of: np.ndarray, table_rows: int = 1 << WORD_BITS) -> np.ndarray:
+    return (mix(f + of.astype(np.uint64) * _SEED) >> np.uint64(65 - table_rows.bit_length())).astype(np.int64)
 
 
 def summed(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -142,7 +149,9 @@ def summed(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.nd
 def descend(table: np.ndarray, seen: np.ndarray, uses: np.ndarray, rows: list[np.ndarray], miss: np.ndarray, rate: float) -> None:
     """One gradient step on the rows that a batch uses, each at its own Adagrad rate."""
     for r in rows:
-        order = np.argsort(r.astype(np.uint16), kind="stable")
+        order = np.argsort((r & 0xFFFF).astype(np.uint16), kind="stable")
+        if len(table) > 1 << 16:
+            order = order[np.argsort((r[order] >> 16).astype(np.uint16), kind="stable")]
         own = r[order]
         heads = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         step, which = np.add.reduceat(miss[order], heads, axis=0), own[heads]
@@ -157,14 +166,14 @@ def learn(model: Model, h: np.ndarray, of: np.ndarray, state: list[np.ndarray],
     cls, number = model.targets(h, known)
     for at in range(0, len(h), batch):
         part = slice(at, at + batch)
-        rows = [class_rows(f[part]) for f in feats]
+        rows = [class_rows(f[part], len(model.class_weights)) for f in feats]
         miss = np.exp(log_softmax(summed(model.class_weights, rows, model.class_bias)))
         miss[np.arange(len(miss)), cls[part]] -= 1
         descend(model.class_weights, state[0], state[1], rows, miss, rate)
         core = np.flatnonzero(number[part] >= 0)
         if len(core):
             c = cls[part][core]
-            rows = [word_rows(f[part][core], c) for f in feats]
+            rows = [word_rows(f[part][core], c, len(model.word_weights)) for f in feats]
             miss = np.exp(log_softmax(summed(model.word_weights, rows, model.word_bias[c])))
             miss[np.arange(len(miss)), number[part][core]] -= 1
             descend(model.word_weights, state[2], state[3], rows, miss, rate)
@@ -177,12 +186,12 @@ def log_probabilities(model: Model, h: np.ndarray, known: np.ndarray, of: np.nda
     out = np.zeros(len(h))
     for at in range(0, len(h), 1 << 14):
         part = slice(at, at + (1 << 14))
-        scores = log_softmax(summed(model.class_weights, [class_rows(f[part]) for f in feats], model.class_bias))
+        scores = log_softmax(summed(model.class_weights, [class_rows(f[part], len(model.class_weights)) for f in feats], model.class_bias))
         own = scores[np.arange(len(scores)), cls[part]].astype(float)
         core = np.flatnonzero(number[part] >= 0)
         if len(core):
             c = cls[part][core]
-            inner = log_softmax(summed(model.word_weights, [word_rows(f[part][core], c) for f in feats], model.word_bias[c]))
+            inner = log_softmax(summed(model.word_weights, [word_rows(f[part][core], c, len(model.word_weights)) for f in feats], model.word_bias[c]))
             own[core] += inner[np.arange(len(core)), number[part][core]]
         out[part] = own
     return out
@@ -201,22 +210,23 @@ def prepare(counts: DataFrame) -> Model:
     slots = np.searchsorted(word >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
     place = np.full(len(word), -1, np.int64)
     # The more common words come first; every core class holds as many words.
-    common = np.lexsort((word, -c))[: CORE_CLASSES * CLASS_WORDS]
+    classes, wide, more_bits = sizes(n, v)
+    common = np.lexsort((word, -c))[: classes * wide]
     place[common] = np.arange(len(common))
     rest = {r["s"]: (r["t"], r["w"]) for r in counts.groupBy(shape.alias("s")).agg(F.sum("c").alias("t"), F.count("*").alias("w")).collect()}
     tokens_of, words_of = (np.array([rest.get(s, (0, 0))[i] for s in range(SHAPES)], float) for i in (0, 1))
     core_shape = (word[common] & np.uint64(SHAPES - 1)).astype(np.int64)
     tokens_of -= np.bincount(core_shape, c[common], minlength=SHAPES)
     words_of -= np.bincount(core_shape, minlength=SHAPES)
-    cls = np.zeros(OUTPUTS)
-    np.add.at(cls, place[common] // CLASS_WORDS, c[common])
-    cls[CORE_CLASSES:] = tokens_of
-    inner = np.full((CORE_CLASSES, CLASS_WORDS), -30.0, np.float32)
-    inner[place[common] // CLASS_WORDS, place[common] % CLASS_WORDS] = np.log(c[common])
+    cls = np.zeros(classes + SHAPES)
+    np.add.at(cls, place[common] // wide, c[common])
+    cls[classes:] = tokens_of
+    inner = np.full((classes, wide), -30.0, np.float32)
+    inner[place[common] // wide, place[common] % wide] = np.log(c[common])
     discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    bias = np.where(cls > 0, np.log(np.maximum(cls, 0.5)), np.where(np.arange(OUTPUTS) < CORE_CLASSES, -30.0, math.log(0.5)))
+    bias = np.where(cls > 0, np.log(np.maximum(cls, 0.5)), np.where(np.arange(classes + SHAPES) < classes, -30.0, math.log(0.5)))
     return Model(n, v, word, c, slots, bits, place, discount, tokens_of, words_of, bias.astype(np.float32), inner,
-                 np.zeros((1 << CLASS_BITS, OUTPUTS), np.float32), np.zeros((1 << WORD_BITS, CLASS_WORDS), np.float32))
+                 np.zeros((1 << CLASS_BITS + more_bits, classes + SHAPES), np.float32), np.zeros((1 << WORD_BITS + more_bits, wide), np.float32))
 
 
 BLOCK = 1 << 10
@@ -225,18 +235,18 @@ BLOCK = 1 << 10
 def train(docs: DataFrame, model: Model, rounds: int = 2, rate: float = 0.15, batch: int = 8192) -> Model:
     """Distributed gradient updates: in each round every task descends over its own texts of the round's share, from the
     same weights; a row's new weights are the mean over the tasks, each counted as often as it used the row. Every
-    training text is used in one round. The driver holds one copy of the weights (fixed by the parameters above).
+    training text is used in one round. The driver holds one copy of the weights (see ``sizes``).
     """
     for turn in range(rounds):
         share = docs.where(F.pmod(F.xxhash64("text", F.lit(23)), F.lit(rounds)) == turn).select("text")
         current = model
+        widths = model.class_weights.shape[1], model.word_weights.shape[1]
 
         def run(batches, model=current):
             from dataclasses import replace
 
             own = replace(model, class_weights=model.class_weights.copy(), word_weights=model.word_weights.copy())
-            state = [np.full(1 << CLASS_BITS, 1e-3, np.float32), np.zeros(1 << CLASS_BITS, np.int64),
-                     np.full(1 << WORD_BITS, 1e-3, np.float32), np.zeros(1 << WORD_BITS, np.int64)]
+            state = [make for rows in (len(own.class_weights), len(own.word_weights)) for make in (np.full(rows, 1e-3, np.float32), np.zeros(rows, np.int64))]
             any_rows = False
             for part in batches:
                 data, offsets = utf8(part.column("text"))
@@ -256,7 +266,7 @@ def train(docs: DataFrame, model: Model, rounds: int = 2, rate: float = 0.15, ba
 
         def mean(group: pa.Table) -> pa.Table:
             kind, block = group["kind"][0].as_py(), group["block"][0].as_py()
-            width = OUTPUTS if kind == 0 else CLASS_WORDS
+            width = widths[kind]
             total, times = np.zeros((BLOCK, width)), np.zeros(BLOCK)
             for used, uses, weights in zip(*(group[c].to_pylist() for c in ("used", "uses", "weights")), strict=True):
                 rows, n = np.frombuffer(used, np.int16), np.frombuffer(uses, np.int64)
@@ -332,7 +342,7 @@ def score_texts(docs: DataFrame, may_learn: Column, rounds: int = 2) -> DataFram
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row: log10 probabilities of the whole text.
 
     Tokens are the lower-cased (A-Z) words and one end. ``base_score`` is a smoothed unigram. ``score`` is a maximum-entropy
-    model: a softmax over classes (blocks of the CORE_CLASSES * CLASS_WORDS most common words; all other words by the shape of their last
+    model: a softmax over classes (blocks of the most common words, as many as ``sizes`` says; all other words by the shape of their last
     letters), then one over the words of a core class, both with hashed features of the last word, the last two and the one
     before the last. In a shape class a word has its discounted share of the training tokens, and all words never seen share what the discount
     leaves. Training takes all rows of ``may_learn``.

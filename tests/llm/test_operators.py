@@ -79,6 +79,16 @@ def test_language_model_sums_to_one(docs):
     assert np.allclose(rest, 1)
 
 
+def test_language_model_takes_every_context(docs):
+    """A word that isn't listed is a context of its own, and the model grows with the counts."""
+    model = lm.prepare(lm.token_counts(docs))
+    f = model.features(np.array([16, 32, 48], np.uint64), np.array([-1, -1, -1]), np.zeros(3, np.int64))
+    g = model.features(np.array([64, 32, 48], np.uint64), np.array([-1, -1, -1]), np.zeros(3, np.int64))
+    assert f[0][1] != g[0][1] and f[1][2] != g[1][2] and f[2][2] != g[2][2]
+    small, large = lm.sizes(10**5, 10**4), lm.sizes(10**9, 10**7)
+    assert small == (lm.CORE_CLASSES, lm.CLASS_WORDS, 0) and all(x > y for x, y in zip(large, small, strict=True))
+
+
 def test_fingerprints(docs, local):
     rows = sorted(fingerprint.fingerprint_documents(docs, 3).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     order = sorted(local, key=lambda d: (d["doc_id"] is not None, d["doc_id"] or 0, d["text"] or ""))
