@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartloom.llm import (
     centroids, fingerprint, hard_negatives, html_extract, langid, line_dedup, lm, mixing, ngram_join, secrets, sentencepiece_match, topk,
+    toxicity,
 )
 from cartloom.llm.common import table
 
@@ -96,6 +97,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op11_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = toxicity.held_out(docs)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held)
+    return toxicity.score_texts(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def rounds_sql(k: int = 8, rounds: int = 10, width: int = 64, scale: int = 1024, seed: int = 3) -> str:
     """All rounds of exact clustering, one pair of steps (nearest centroid, means) after the other."""
     floors = f"list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
