@@ -13,29 +13,28 @@ from pyspark.sql import functions as F
 
 from cartloom.functions import forms
 from cartloom.functions.commerce import EVENT_NAMES, ecommerce_params
-from cartloom.operators.exceptions import union_all
-from cartloom.operators.skew import MAX_GROUP_ROWS, SLICE_SECONDS, numbered, with_previous, with_running_max
+from cartloom.operators.skew import MAX_GROUP_ROWS, joined, ranged, with_previous, with_running_max
 from cartloom.session import checkpointed
 
 TTL_SECONDS = 600
 LIMIT, WINDOW_SECONDS = 5, 600
 
 
-def page_view_dedupe(views: DataFrame, session: str, ts: str, id_: str, path: Column, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def page_view_dedupe(views: DataFrame, session: str, ts: str, id_: str, path: Column, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Views whose path differs from the previous one of the session; the first always counts."""
-    rows = with_previous(views, [session], ts, id_, path, "_previous", slice_seconds)
+    rows = with_previous(views, [session], ts, id_, path, "_previous", max_rows)
     changed = F.col("_previous").isNull() | ~F.col("_previous.value").eqNullSafe(path)
     return rows.where(changed).drop("_previous")
 
 
 def dedupe_deliveries(
-    deliveries: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = TTL_SECONDS, slice_seconds: int = SLICE_SECONDS
+    deliveries: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = TTL_SECONDS, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Add ``duplicate``: the id arrived less than the TTL ago, where every arrival restarts the
     clock. A blank id is never a duplicate and never shuffled."""
     blank = F.coalesce(F.col(id_).cast("string"), F.lit("")) == ""
     arrival = F.unix_micros(F.col(ts).cast("timestamp"))
-    named = with_previous(deliveries.where(~blank), [id_], ts, seq, arrival, "_previous", slice_seconds)
+    named = with_previous(deliveries.where(~blank), [id_], ts, seq, arrival, "_previous", max_rows)
     gap = arrival - F.col("_previous.value")
     marked = named.withColumn("duplicate", F.coalesce(gap < ttl_seconds * 1_000_000, F.lit(False))).drop("_previous")
     return marked.unionByName(deliveries.where(blank).withColumn("duplicate", F.lit(False)))
@@ -65,27 +64,49 @@ def grade_hits(times: np.ndarray, kept: deque, limit: int, window: int) -> tuple
     return left, wait
 
 
-def _limiter(limit: int, window: int):
-    """Task body over rows sorted by run and time: state is one run's accepted times."""
+def _limiter(limit: int, window: int, only_ends: bool):
+    """Task body over rows sorted by slice and time: grades each slice from its start state.
+
+    Memory is one Arrow batch and one state. With ``only_ends`` it gives the state each slice ends with, else every
+    row, and the end state on the slice's last row.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, kept = None, deque()
+        current, kept, last = None, deque(), None
+
+        def closed(row: pd.DataFrame) -> pd.DataFrame:
+            return row.assign(end=[list(kept)])
+
         for batch in batches:
             if batch.empty:
                 continue
-            keys, ids = batch["key"].to_numpy(), batch["run"].to_numpy()
-            turns = np.flatnonzero((keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])) + 1
+            batch = batch.reset_index(drop=True)
+            keys, ids, parts = batch["key"].to_numpy(), batch["run"].to_numpy(), batch["slice"].to_numpy()
+            turns = np.flatnonzero((keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]) | (parts[1:] != parts[:-1])) + 1
             edges = [0, *turns.tolist(), len(keys)]
-            times, seeds = batch["us"].to_numpy(), batch["seed"].to_numpy()
+            times = batch["us"].to_numpy()
             left, wait = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
             for start, end in zip(edges, edges[1:]):
-                here = (keys[start], ids[start])
+                here = (keys[start], ids[start], parts[start])
                 if here != current:
-                    current, kept = here, deque()
-                first = start + int(seeds[start:end].sum())
-                kept.extend(times[start:first].tolist())
-                left[first:end], wait[first:end] = grade_hits(times[first:end], kept, limit, window)
-            yield batch.assign(remaining=left, wait_us=wait)[~batch["seed"]]
+                    if last is not None:
+                        yield closed(last)
+                        last = None
+                    current, kept = here, deque(batch["start"].iloc[start])
+                left[start:end], wait[start:end] = grade_hits(times[start:end], kept, limit, window)
+                done = batch.iloc[start:end].assign(remaining=left[start:end], wait_us=wait[start:end], end=None)
+                if end < len(keys):
+                    yield closed(done.iloc[-1:])
+                    done, last, current = done.iloc[:-1], None, None
+                else:
+                    # the slice may go on in the next batch: its last row so far is held back
+                    if last is not None and not only_ends:
+                        yield last
+                    done, last = done.iloc[:-1], done.iloc[-1:]
+                if not only_ends:
+                    yield done
+        if last is not None:
+            yield closed(last)
 
     return run
 
@@ -94,58 +115,59 @@ def rate_limit(
     hits: DataFrame, key: str, ts: str, id_: str, limit: int = LIMIT, window_seconds: int = WINDOW_SECONDS,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Sliding-log limiter: ``key, id, allowed, remaining, retry_after_ms`` of every hit.
-
-    Denied hits leave no trace, so acceptance depends on earlier acceptances. A pause of a window or
-    more forgets everything, which cuts a key into runs that are graded apart. A run above
-    ``max_rows`` is cut into slices graded in rounds: each round takes the last ``limit`` accepted
-    times of the round before, which is all the state there is. Rows stream through a task in sorted
-    order; no group is ever held whole.
+    """Sliding-log limiter: ``key, id, allowed, remaining, retry_after_ms`` of every hit. Null keys are one key.
+
+    Denied hits leave no trace, so acceptance depends on earlier acceptances. A pause of a window or more forgets
+    everything, which cuts a key into runs graded apart. A run above ``max_rows`` is cut into slices, guessed and repaired:
+    all slices are graded at once from an empty state; then each takes the end state of the slice before it as its start
+    and is graded again only if that differs from the start it had. When none differs, every slice started where the one
+    before ended, which is the answer in sequence.
+
+    The state is the last ``limit`` accepted times, and slices far longer than a window mostly end alike whatever they
+    started with, so the rounds don't grow with the rows: two, and a few more for slices whose end does depend on their
+    start. Only hits in an endless even rhythm pass a wrong guess on from slice to slice. Rows stream through a task in
+    sorted order; no group is ever held whole.
     """
     window = window_seconds * 1_000_000
-    rows = hits.select(
-        F.col(key).cast("string").alias("key"), F.col(id_).alias("id"), F.col(ts).cast("timestamp").alias("ts")
-    ).withColumn("us", F.unix_micros("ts"))
-    fields = "key string, id bigint, us bigint, run bigint, seed boolean, remaining bigint, wait_us bigint"
-    before = with_previous(rows, ["key"], "ts", "id", F.col("us"), "_previous")
+    rows = checkpointed(
+        hits.select(F.col(key).cast("string").alias("key"), F.col(id_).alias("id"), F.col(ts).cast("timestamp").alias("ts")).withColumn("us", F.unix_micros("ts"))
+    )
+    before = with_previous(rows, ["key"], "ts", "id", F.col("us"), "_previous", max_rows)
     gap = F.col("us") - F.col("_previous.value")
     started = before.withColumn("_start", F.when(F.coalesce(gap >= window, F.lit(True)), F.col("us"))).drop("_previous")
     runs = checkpointed(
-        with_running_max(started, ["key"], "ts", "id", F.col("_start"), "run").select("key", "id", "us", "run")
+        with_running_max(started, ["key"], "ts", "id", F.col("_start"), "run", max_rows).select("key", "id", "us", "run")
     )
-    largest = runs.groupBy("key", "run").count().agg(F.max("count")).first()[0] or 0
-    rounds = -(-largest // max_rows)
-    sliced = runs.withColumn("slice", F.lit(0))
-    if rounds > 1:
-        placed = numbered(runs, ["key", "run"], ["us", "id"], ["us"], out="_n", max_rows=max_rows)
-        sliced = checkpointed(placed.withColumn("slice", F.floor((F.col("_n") - 1) / max_rows)).drop("_n"))
-    graded, carry = [], None
-    latest = Window.partitionBy("key", "run").orderBy(F.desc("us"), F.desc("id"))
-    for n in range(max(rounds, 1)):
-        part = sliced.where(F.col("slice") == n).drop("slice").withColumn("seed", F.lit(False))
-        if carry is not None:
-            part = part.unionByName(carry)
-        done = (
-            part.repartition("key", "run")
-            .sortWithinPartitions("key", "run", F.desc("seed"), "us", "id")
-            .mapInPandas(_limiter(limit, window), fields)
-        )
-        if n < rounds - 1:
-            done = checkpointed(done)
-            accepted = done.where(F.col("remaining") >= 0)
-            carry = (
-                accepted.withColumn("_rank", F.row_number().over(latest))
-                .where(F.col("_rank") <= limit)
-                .select("key", "id", "us", "run", F.lit(True).alias("seed"))
-            )
-        graded.append(done)
-    return union_all(graded).select(
-        "key",
-        "id",
-        (F.col("remaining") >= 0).alias("allowed"),
-        F.greatest("remaining", F.lit(0)).alias("remaining"),
+    empty = F.array().cast("array<bigint>")
+    place = ["key", "run", "slice"]
+    fields = "key string, id bigint, us bigint, run bigint, slice int, start array<bigint>, remaining bigint, wait_us bigint, end array<bigint>"
+
+    def graded(rows: DataFrame, only_ends: bool) -> DataFrame:
+        ordered = rows.repartition(*place).sortWithinPartitions(*place, "us", "id")
+        return ordered.mapInPandas(_limiter(limit, window, only_ends), fields)
+
+    shown = [
+        "key", "id", (F.col("remaining") >= 0).alias("allowed"), F.greatest("remaining", F.lit(0)).alias("remaining"),
         F.ceil(F.col("wait_us") / 1000).cast("bigint").alias("retry_after_ms"),
-    )
+    ]
+    sliced = ranged(runs, ["key", "run"], ["us"], "slice", max_rows)
+    if sliced is None:
+        return graded(runs.withColumn("slice", F.lit(0)).withColumn("start", empty), False).select(*shown)
+
+    sliced = checkpointed(sliced)
+    # one small row per slice: the start it was graded from and the end that gave
+    states = checkpointed(graded(sliced.withColumn("start", empty), True).select(*place, "start", "end"))
+    along = Window.partitionBy("key", "run").orderBy("slice")
+    while True:
+        linked = states.withColumn("due", F.coalesce(F.lag("end").over(along), empty))
+        wrong = linked.where(F.col("due") != F.col("start"))
+        if wrong.isEmpty():
+            break
+        again = joined(sliced, wrong.select(*place, F.col("due").alias("start")), place)
+        repaired = graded(again, True).select(*place, "start", "end")
+        kept = linked.where(F.col("due") == F.col("start")).select(*place, "start", "end")
+        states = checkpointed(kept.unionByName(repaired))
+    return graded(joined(sliced, states.select(*place, "start"), place), False).select(*shown)
 
 
 def pre_check(now_ms: Column, secret: str | None) -> Column:
@@ -179,10 +201,11 @@ def contact_outcomes(submissions: DataFrame, secret: str | None, limit: int = LI
     """
     now_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     values = forms.contact_values(F.struct(*[F.col(f) for f in forms.LIMITS]))
-    checked = (
-        submissions.withColumn("_rejected", pre_check(now_ms, secret))
-        .withColumn("_key", forms.rate_limit_key(F.col("forwarded_for"), F.col("real_ip")))
-        .withColumn("errors", forms.contact_errors(values))
+    checked = checkpointed(
+        submissions.select(
+            "id", "ts", pre_check(now_ms, secret).alias("_rejected"),
+            forms.rate_limit_key(F.col("forwarded_for"), F.col("real_ip")).alias("_key"), forms.contact_errors(values).alias("errors"),
+        )
     )
     passed = rate_limit(checked.where(F.col("_rejected").isNull()), "_key", "ts", "id", limit, window_seconds)
     graded = checked.join(passed.select("id", "allowed", "retry_after_ms"), "id", "left")

@@ -13,11 +13,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 #: A group above this many rows is split before it is ordered.
 MAX_GROUP_ROWS = 2_000_000
-#: Time slice of ordered event work: a year of one hot key is 8,760 tasks' worth.
-SLICE_SECONDS = 3_600
 #: Finest cut of one hot group.
 QUANTILES = 4096
 
@@ -29,24 +28,15 @@ def joined(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inn
     return df.join(F.broadcast(other) if small else other, same, how).drop(*[f"_of_{k}" for k in keys])
 
 
-def numbered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    spread: Sequence[str],
-    out: str = "position",
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """``row_number`` over ``keys`` in ``order``.
+def ranged(df: DataFrame, keys: Sequence[str], spread: Sequence[str], out: str = "_range", max_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
+    """Add the range of each row within its group: 0 in groups of at most ``max_rows`` rows. None where no group is larger.
 
-    ``spread`` names one numeric column, or an integer one and a numeric one, whose lexicographic
-    order never contradicts ``order``. A group above ``max_rows`` is cut into about
-    ``rows / max_rows`` ranges at quantiles of that spread; ranges are numbered on their own and
-    shifted by the size of the earlier ones.
+    ``spread`` names one numeric column, or an integer one and a numeric one. A larger group is cut into about
+    ``rows / max_rows`` ranges at quantiles of that spread, so ranges follow its lexicographic order, and rows of equal
+    spread share a range. Null in the spread comes first.
 
-    Three small tables are broadcast: hot groups, their cut points and their range sizes. All hold
-    at most one entry per ``max_rows`` input rows (half a million entries for 10^12 rows). In the
-    usual case none is hot: the tables are empty and the plan is one count plus one window.
+    One job counts the groups first. Then two small tables are broadcast: hot groups and
+    their cut points. Both hold at most one entry per ``max_rows`` input rows (half a million entries for 10^12 rows).
     """
     keys = list(keys)
     head, tail = F.col(spread[0]).cast("double"), F.col(spread[-1]).cast("double")
@@ -60,6 +50,8 @@ def numbered(
         )
         .where(F.col("_rows") > max_rows)
     )
+    if hot.isEmpty():
+        return None
     fraction = (tail - F.col("_tail_low")) / (F.col("_tail_high") - F.col("_tail_low") + 1)
     place = fraction if len(spread) == 1 else head - F.col("_head_low") + fraction
     placed = (
@@ -80,25 +72,39 @@ def numbered(
         .select(*keys, F.filter("_fine", lambda _, i: (i + 1) % step == 0).alias("_splits"))
     )
     here = F.col("_place")
-    ranged = (
+    return (
         joined(placed.drop("_rows"), splits, keys, "left", small=True)
-        .withColumn("_range", F.coalesce(F.size(F.filter("_splits", lambda s: s < here)), F.lit(0)))
-        .drop("_splits")
+        .withColumn(out, F.coalesce(F.size(F.filter("_splits", lambda s: s < here)), F.lit(0)))
+        .drop("_splits", "_place")
     )
+
+
+def numbered(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    spread: Sequence[str],
+    out: str = "position",
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``row_number`` over ``keys`` in ``order``.
+
+    ``spread`` is as in :func:`ranged`; its order never contradicts ``order``. Ranges of a hot group are numbered on their
+    own and shifted by the size of the earlier ones, a table of at most one entry per ``max_rows`` input rows.
+    """
+    keys = list(keys)
+    cut = ranged(df, keys, spread, "_range", max_rows)
+    if cut is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        ranged.where(here.isNotNull())
-        .groupBy(*keys, "_range")
-        .count()
-        .withColumn("_shift", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .drop("count")
-    )
+    counts = cut.groupBy(*keys, "_range").count()
+    shifts = counts.withColumn("_shift", F.sum("count").over(earlier)).where(F.col("_shift") > 0).drop("count")
     within = Window.partitionBy(*keys, "_range").orderBy(*order)
     return (
         # explicit, so a partitioning by the keys alone is not reused for a hot group
-        joined(ranged.repartition(*keys, "_range").withColumn("_nth", F.row_number().over(within)), shifts, [*keys, "_range"], "left", small=True)
+        joined(cut.repartition(*keys, "_range").withColumn("_nth", F.row_number().over(within)), shifts, [*keys, "_range"], "left", small=True)
         .withColumn(out, (F.col("_nth") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
-        .drop("_nth", "_shift", "_range", "_place")
+        .drop("_nth", "_shift", "_range")
     )
 
 
@@ -122,6 +128,15 @@ def with_first(df: DataFrame, keys: Sequence[str], id_col: str, out: str = "firs
     )
 
 
+def in_time(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max_rows: int) -> DataFrame | None:
+    """Add ``_slice``: ranges of a hot group's ``(ts, tiebreak)`` order. A numeric tiebreak also cuts rows of one time.
+    None where no group is hot."""
+    timed = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    spread = ["_us", tiebreak] if isinstance(df.schema[tiebreak].dataType, NumericType) else ["_us"]
+    cut = ranged(timed, keys, spread, "_slice", max_rows)
+    return None if cut is None else cut.drop("_us")
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -129,21 +144,22 @@ def with_previous(
     tiebreak: str,
     value: Column,
     out: str = "previous",
-    slice_seconds: int = SLICE_SECONDS,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``lag(value)`` over ``keys`` in ``(ts, tiebreak)`` order, as ``struct<value>`` or null.
 
-    Rows are ordered per key and time slice; the first row of a slice takes the last value of the
-    key's previous non-empty slice from a summary of one row per key and slice. Keys must not be null.
+    A group above ``max_rows`` is ordered range by range; the first row of a range takes the last value of the
+    range before from a summary of one row per hot range. Null keys are one group.
     """
     keys = list(keys)
-    sliced = df.withColumn(
-        "_slice", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(slice_seconds * 1_000_000))
-    ).withColumn("_value", F.struct(value.alias("value")))
+    sliced = in_time(df.withColumn("_value", F.struct(value.alias("value"))), keys, ts, tiebreak, max_rows)
+    if sliced is None:
+        return df.withColumn(out, F.lag(F.struct(value.alias("value"))).over(Window.partitionBy(*keys).orderBy(ts, tiebreak)))
     carry = (
         sliced.groupBy(*keys, "_slice")
         .agg(F.max_by("_value", F.struct(ts, tiebreak)).alias("_last"))
         .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")))
+        .where(F.col("_carry").isNotNull())
         .drop("_last")
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak)
@@ -155,21 +171,23 @@ def with_previous(
 
 
 def with_running_max(
-    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column, out: str, slice_seconds: int = SLICE_SECONDS
+    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: Column, out: str, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Greatest ``value`` up to and including the row, over ``keys`` in ``(ts, tiebreak)`` order.
 
-    Sliced like :func:`with_previous`: a slice adds the maximum of the key's earlier slices.
+    Cut like :func:`with_previous`: a range adds the maximum of the group's earlier ranges.
     """
     keys = list(keys)
-    sliced = df.withColumn(
-        "_slice", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(slice_seconds * 1_000_000))
-    ).withColumn("_value", value)
+    sliced = in_time(df.withColumn("_value", value), keys, ts, tiebreak, max_rows)
+    if sliced is None:
+        plain = Window.partitionBy(*keys).orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.max(value).over(plain))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         sliced.groupBy(*keys, "_slice")
         .agg(F.max("_value").alias("_top"))
         .withColumn("_carry", F.max("_top").over(before))
+        .where(F.col("_carry").isNotNull())
         .drop("_top")
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)

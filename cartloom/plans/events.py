@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.functions.forms import contact_errors, contact_values, hmac_sha256
+from cartloom.functions.forms import contact_errors, contact_values, form_signature, hmac_sha256
 from cartloom.functions.money import cents
 from cartloom.operators import audit
 from cartloom.operators import events as ev
@@ -51,12 +51,75 @@ def dedupe_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     return ev.dedupe_deliveries(deliveries, "id", "ts", "event_id", 3600).select("event_id", "duplicate")
 
 
-@query("rate_limit")
+def sliding_log(source: str, limit: int, window_us: int) -> str:
+    """Recursive SQL over ``source`` (k, event_id, us, n): one hit of every key a step, with its accepted times."""
+    return f"""
+    w AS (
+      SELECT k, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, CAST([] AS BIGINT[]) AS kept, false AS allowed, CAST(0 AS BIGINT) AS wait
+      FROM (SELECT DISTINCT k FROM {source})
+      UNION ALL
+      SELECT k, n, event_id, CASE WHEN len(live) < {limit} THEN list_append(live, us) ELSE live END, len(live) < {limit},
+        CASE WHEN len(live) < {limit} THEN 0 ELSE live[1] + {window_us} - us END
+      FROM (SELECT h.k, h.n, h.event_id, h.us, list_filter(w.kept, lambda x: x > h.us - {window_us}) AS live
+        FROM w JOIN {source} AS h ON h.k = w.k AND h.n = w.n + 1))"""
+
+
+@query(
+    "rate_limit",
+    f"""
+    WITH RECURSIVE h AS (SELECT event_type AS k, event_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events),
+    {sliding_log("h", 5, 86_400_000_000)}
+    SELECT k AS key, event_id AS id, allowed, CASE WHEN allowed THEN 5 - len(kept) ELSE 0 END AS remaining, CAST(ceil(wait / 1000) AS BIGINT) AS retry_after_ms
+    FROM w WHERE n > 0
+    """,
+)
 def rate_limit(spark: SparkSession, folder: str) -> DataFrame:
-    """Five events per type and day; its brute-force twin is in the tests."""
+    """Five events per type and day."""
     return ev.rate_limit(table(spark, folder, "events"), "event_type", "ts", "event_id", 5, 86_400)
 
 
+SECRET = "form-secret"
+
+
+@query(
+    "contact_outcomes",
+    f"""
+    WITH RECURSIVE f AS (SELECT event_id, epoch_us(ts) AS us, event_type, event_id % 11 AS kind,
+        CASE WHEN event_id % 2 = 0 THEN 'a' || user_id % 40 WHEN event_id % 3 = 0 THEN 'b' || user_id % 5 ELSE 'unknown' END AS k FROM events),
+    r AS (SELECT *, CASE WHEN event_type = 'error' THEN 'honeypot' WHEN kind = 0 THEN 'token_missing' WHEN kind IN (1, 2) THEN 'token_malformed'
+        WHEN kind = 3 THEN 'token_signature' WHEN kind = 4 THEN 'token_too_fast' WHEN kind = 5 THEN 'token_expired' END AS rejected FROM f),
+    h AS (SELECT k, event_id, us, row_number() OVER (PARTITION BY k ORDER BY us, event_id) AS n FROM r WHERE rejected IS NULL),
+    {sliding_log("h", 5, 43_200_000_000)},
+    o AS (SELECT r.event_id AS id, coalesce(w.wait, 0) AS wait, CASE WHEN rejected IS NOT NULL THEN rejected WHEN NOT w.allowed THEN 'rate_limited'
+        WHEN event_type = 'click' OR r.event_id % 13 = 0 THEN 'validation' ELSE 'accepted' END AS outcome,
+        CASE WHEN event_type = 'click' THEN 1 ELSE 0 END + CASE WHEN r.event_id % 13 = 0 THEN 2 ELSE 0 END AS bad
+      FROM r LEFT JOIN w ON w.event_id = r.event_id)
+    SELECT id, outcome, CASE WHEN outcome IN ('accepted', 'honeypot') OR (outcome LIKE 'token_%' AND outcome <> 'token_expired') THEN 'success' ELSE 'error' END AS answer,
+      CASE WHEN outcome = 'validation' THEN bad END AS field_errors, CAST(ceil(wait / 1000) AS BIGINT) AS retry_after_ms FROM o
+    """,
+)
+def contact_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as form submissions: full fields, every kind of bad token, honeypots, two kinds of sender address."""
+    now, kind = F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id") % 11
+    signed = lambda age: F.concat_ws(".", (now - age).cast("string"), form_signature((now - age).cast("string"), SECRET))
+    token = (
+        F.when(kind == 0, " ").when(kind == 1, "later.x").when(kind == 2, (now - 9_000).cast("string"))
+        .when(kind == 3, F.concat((now - 9_000).cast("string"), F.lit(".forged"))).when(kind == 4, signed(2_999)).when(kind == 5, signed(3_600_001))
+        .when(kind == 6, signed(3_000)).otherwise(signed(3_600_000))
+    )
+    wrong = F.col("event_id") % 13 == 0
+    submissions = table(spark, folder, "events").select(
+        F.col("event_id").alias("id"), "ts", token.alias("token"), F.when(F.col("event_type") == "error", "x").otherwise(" ").alias("website"),
+        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" a"), F.col("user_id") % 40, F.lit(" , proxy"))).alias("forwarded_for"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("b"), F.col("user_id") % 5)).alias("real_ip"),
+        F.lit("Ada").alias("first_name"), F.lit("L").alias("last_name"), F.lit("Order").alias("subject"),
+        F.when(wrong, "nobody").otherwise("a@b.co").alias("email"), F.when(wrong, "12").otherwise("").alias("phone"),
+        F.when(F.col("event_type") == "click", "short").otherwise("long enough a message").alias("message"),
+    )
+    found = ev.contact_outcomes(submissions, SECRET, 5, 43_200)
+    return found.select("id", "outcome", "answer", F.size("errors").alias("field_errors"), "retry_after_ms")
+
+
 @query(
     "event_metrics",
     """

@@ -47,6 +47,27 @@ def test_rate_limit(spark, max_rows):
     assert got == brute_limit(rows, 3, timedelta(seconds=120))
 
 
+@pytest.mark.parametrize("n", [1000, 4000])
+def test_rate_limit_rounds_do_not_grow(spark, monkeypatch, n):
+    """One busy key without pauses: four times the slices, the same few rounds."""
+    rnd = random.Random(2)
+    rows = [("hot", START + timedelta(seconds=20 * i + rnd.randrange(20)), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp, id long")
+    cuts = []
+    real = ev.checkpointed
+    monkeypatch.setattr(ev, "checkpointed", lambda df: cuts.append(1) or real(df))
+    got = {r.id: (r.allowed, r.remaining, r.retry_after_ms) for r in ev.rate_limit(df, "key", "ts", "id", 3, 60, 100).collect()}
+    assert got == brute_limit(rows, 3, timedelta(seconds=60)) and len(cuts) <= 7
+
+
+def test_rate_limit_in_an_even_rhythm(spark):
+    """The worst case: every slice's end depends on its start, so guesses are repaired one after the other."""
+    rows = [("hot", START + timedelta(seconds=7 * i), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp, id long")
+    got = {r.id: (r.allowed, r.remaining, r.retry_after_ms) for r in ev.rate_limit(df, "key", "ts", "id", 2, 60, 70).collect()}
+    assert got == brute_limit(rows, 2, timedelta(seconds=60))
+
+
 def test_rate_limit_query_against_brute_force(spark):
     import __spark_entry__ as entry
 
@@ -67,10 +88,10 @@ def brute_seen(rows, ttl):
 def test_deliveries_and_views(spark):
     rows = hits(keys=("", "a", "b"))
     df = spark.createDataFrame(rows, "key string, ts timestamp, id long")
-    got = {r.id: r.duplicate for r in ev.dedupe_deliveries(df, "key", "ts", "id", 90, slice_seconds=600).collect()}
+    got = {r.id: r.duplicate for r in ev.dedupe_deliveries(df, "key", "ts", "id", 90, max_rows=40).collect()}
     assert got == brute_seen(rows, timedelta(seconds=90))
     paths = spark.createDataFrame([(k, t, i, f"/{i % 3 and 1}") for k, t, i in rows], "key string, ts timestamp, id long, path string")
-    sent = {r.id for r in ev.page_view_dedupe(paths, "key", "ts", "id", F.col("path"), 600).collect()}
+    sent = {r.id for r in ev.page_view_dedupe(paths, "key", "ts", "id", F.col("path"), 40).collect()}
     last, want = {}, set()
     for k, t, i in sorted(rows, key=lambda r: (r[1], r[2])):
         if last.get(k) != f"/{i % 3 and 1}":

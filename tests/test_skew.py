@@ -39,9 +39,9 @@ def test_previous_and_running_max(spark):
     df = rows(spark)
     order = Window.partitionBy("k").orderBy("ts", "id")
     plain = df.select("id", F.lag("a").over(order).alias("p"), F.max("a").over(order).alias("m"))
-    previous = skew.with_previous(df, ["k"], "ts", "id", F.col("a"), slice_seconds=900).select("id", F.col("previous.value").alias("p"))
+    previous = skew.with_previous(df, ["k"], "ts", "id", F.col("a"), max_rows=100).select("id", F.col("previous.value").alias("p"))
     same(previous, plain.select("id", "p"))
-    running = skew.with_running_max(df, ["k"], "ts", "id", F.col("a"), "m", slice_seconds=900).select("id", "m")
+    running = skew.with_running_max(df, ["k"], "ts", "id", F.col("a"), "m", max_rows=100).select("id", "m")
     same(running, plain.select("id", "m"))
 
 
