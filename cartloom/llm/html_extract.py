@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +15,18 @@ from cartloom.llm.common import saved
 
 #: Elements whose content is never text of the page.
 HIDDEN = {"script", "style", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "title", "head"}
-#: Elements around the article, and words in class or id names that mark such parts.
+#: Elements around the article. In a form or a header that holds an article, the article is still one.
 AROUND = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button"}
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|header|footer|sidebar|cookies?|consent|notice|popup|modal|newsletter|subscribe"
-    r"|comments?|replies|disqus|breadcrumbs?|share|social|related|login|signup|widget)(?:$|[\s_-])")
+FRAMES = {"header", "form"}
+#: Roles that say the same.
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "dialog"}
+#: Class and id names that mark such parts, as whole names of elements that hold other blocks. They only break ties.
+NAMES = {
+    "ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "nav", "navbar", "menu", "header", "footer", "sidebar", "cookies", "cookie-notice",
+    "consent", "notice", "popup", "modal", "newsletter", "subscribe", "comments", "comment", "replies", "disqus", "breadcrumb", "breadcrumbs", "share",
+    "social", "related", "login", "signup", "widget",
+}
+HOLDERS = {"div", "section", "ul", "ol", "dl", "table", "fieldset", "details", "center"}
 MAIN = {"article", "main"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption",
@@ -27,14 +35,43 @@ BLOCKS = {
 }
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-#: What the markup says of a block: outside any marked part, part of the article, part of the surroundings.
-OPEN, INSIDE, OUTSIDE = 0, 1, 2
+NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: What the markup says of a block: nothing, part of the article, part of the surroundings, marked as such by a class name only.
+OPEN, INSIDE, OUTSIDE, MARKED = 0, 1, 2, 3
+#: While reading: in a frame that may still hold the article; in an article that stands in a marked part.
+FRAME, TEASER = 4, 5
+
+
+def zone_of(name: str, attributes: str, zone: int) -> int:
+    """The zone that an opened block starts inside ``zone``."""
+    if name in MAIN:
+        if zone == OUTSIDE and name != "main":
+            return OUTSIDE
+        return TEASER if zone in (MARKED, TEASER) and name != "main" else INSIDE
+    if zone == OUTSIDE or name in ("html", "body"):
+        return zone
+    names: set[str] = set()
+    for m in NAMED.finditer(attributes):
+        words = next((x for x in m.groups()[1:] if x is not None), "").lower().split()
+        if m[1].lower() == "role":
+            if zone != INSIDE and ROLES.intersection(words):
+                return OUTSIDE
+            if zone == OPEN and "main" in words:
+                return INSIDE
+        names.update(words)
+    if name in AROUND and not (name == "header" and zone in (INSIDE, TEASER)):
+        return FRAME if name in FRAMES and zone in (OPEN, FRAME) else OUTSIDE
+    if zone == OPEN and "main" in names:
+        return INSIDE
+    if name in HOLDERS and zone != FRAME and NAMES & names:
+        return MARKED
+    return zone
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
     """Text blocks in page order with what the markup says of each. Markup that is cut off or never closed is taken as it
-    comes; character references are decoded; white space inside a block is one space."""
+    comes; character references are decoded; white space inside a block is one space. Articles inside a marked part are
+    the page's article where it has no other."""
     out: list[tuple[str, int]] = []
     parts: list[str] = []
     stack: list[tuple[str, int]] = []
@@ -74,12 +111,76 @@ def blocks(page: str) -> list[tuple[str, int]]:
                     break
         elif name in BLOCKS and name not in EMPTY and not (name == "p" and stack and stack[-1][0] == "p"):
             stack.append((name, zone))
-            named = " ".join(next(x for x in m if x is not None) for m in (g.groups() for g in NAMED.finditer(found[3])) if any(x is not None for x in m)).lower()
-            if zone != OUTSIDE and (name in AROUND and not (name == "header" and zone == INSIDE) or named and MARKS.search(named)):
-                zone = OUTSIDE
-            elif zone == OPEN and (name in MAIN or "main" in named.split()):
-                zone = INSIDE
+            zone = zone_of(name, found[3], zone)
     close()
+    alone = all(z != INSIDE for _, z in out)
+    last = {FRAME: OUTSIDE, TEASER: INSIDE if alone else MARKED}
+    return [(text, last.get(z, z)) for text, z in out]
+
+
+#: Pairs of equal lines up to which places are listed; beyond it alignment takes linear memory.
+LISTED_PAIRS = 1 << 16
+
+
+def by_places(a: list[int], b: list[int]) -> list[int]:
+    """Indices of ``a`` in a longest common subsequence (Hunt and Szymanski): a longest increasing run of places, kept
+    by patience piles. Memory follows the pairs of equal lines."""
+    places: dict[int, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        places.setdefault(b[j], []).append(j)
+    tails: list[int] = []
+    tail_nodes: list[int] = []
+    nodes: list[tuple[int, int]] = []  # (line, node before)
+    for i, line in enumerate(a):
+        for j in places.get(line, ()):
+            k = bisect_left(tails, j)
+            nodes.append((i, tail_nodes[k - 1] if k else -1))
+            if k == len(tails):
+                tails.append(j)
+                tail_nodes.append(len(nodes) - 1)
+            else:
+                tails[k] = j
+                tail_nodes[k] = len(nodes) - 1
+    out, at = [], tail_nodes[-1] if tail_nodes else -1
+    while at >= 0:
+        out.append(nodes[at][0])
+        at = nodes[at][1]
+    return out
+
+
+def common_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with every beginning of ``b``: one bit per line of ``b``,
+    carried through additions of one wide integer (Crochemore and others, Hyyrö)."""
+    masks: dict[int, int] = {}
+    for j, line in enumerate(b):
+        masks[line] = masks.get(line, 0) | (1 << j)
+    full = (1 << len(b)) - 1
+    row = full
+    for line in a:
+        same = row & masks.get(line, 0)
+        row = ((row + same) | (row - same)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def by_halves(a: list[int], b: list[int]) -> list[int]:
+    """Indices of ``a`` in a longest common subsequence, in linear memory (Hirschberg): ``b`` is cut where the first half of
+    ``a`` from the front and the second from the back share most."""
+    out, todo = [], [(0, a, b)]
+    while todo:
+        base, left, right = todo.pop()
+        if not left or not right:
+            continue
+        if len(left) * len(right) <= LISTED_PAIRS:
+            out.extend(base + i for i in by_places(left, right))
+            continue
+        if len(left) == 1:
+            if left[0] in right:
+                out.append(base)
+            continue
+        half = len(left) // 2
+        cut = int((common_lengths(left[:half], right) + common_lengths(left[half:][::-1], right[::-1])[::-1]).argmax())
+        todo += [(base, left[:half], right[:cut]), (base + half, left[half:], right[cut:])]
     return out
 
 
@@ -100,29 +201,10 @@ def longest_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     right = right[np.isin(right, a[left])]
     if not len(left) or not len(right):
         return shared
-    # Hunt and Szymanski: a longest increasing run of places, kept by patience piles.
-    places: dict[int, list[int]] = {}
-    for j in range(len(right) - 1, -1, -1):
-        places.setdefault(int(right[j]), []).append(j)
-    from bisect import bisect_left
-
-    tails: list[int] = []
-    tail_nodes: list[int] = []
-    nodes: list[tuple[int, int]] = []  # (line, node before)
-    for i in left.tolist():
-        for j in places.get(int(a[i]), ()):
-            k = bisect_left(tails, j)
-            nodes.append((i, tail_nodes[k - 1] if k else -1))
-            if k == len(tails):
-                tails.append(j)
-                tail_nodes.append(len(nodes) - 1)
-            else:
-                tails[k] = j
-                tail_nodes[k] = len(nodes) - 1
-    at = tail_nodes[-1]
-    while at >= 0:
-        shared[nodes[at][0]] = True
-        at = nodes[at][1]
+    lines, theirs = np.unique(a[left], return_counts=True), np.unique(right, return_counts=True)
+    pairs = int((lines[1] * theirs[1]).sum())  # both hold the same lines
+    align = by_places if pairs <= LISTED_PAIRS else by_halves
+    shared[left[align(a[left].tolist(), right.tolist())]] = True
     return shared
 
 
@@ -161,9 +243,10 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     order, at the smallest of their paths, and are all compared with the page next to it, never with each other.
     The text lines of both are aligned by a longest common subsequence, and lines that both have are deleted, inside an
     ``article`` or ``main`` element as well; lines outside of it that the markup says nothing of stay if the other page doesn't have
-    them. Markup decides in two cases: blocks inside menus, headers, footers, sidebars, forms, adverts, notices and comments are
+    them. Markup decides in two cases: blocks inside the elements (or roles) of menus, headers, footers, sidebars and forms are
     never text, and where at least half of the characters in the page's articles are on shared lines, the two are copies
-    of one article rather than pages with the same surroundings, and the articles stay whole.
+    of one article rather than pages with the same surroundings, and the articles stay whole. Class names break a tie: lines the
+    other page doesn't have go where a containing block is named as advert, notice, sidebar or comments, unless the page then has no text.
 
     Null and empty html give an empty text. A null or malformed url is a host of its own (the empty one) with the url as path. Pages alone in their host are
     compared with none. Extra columns are left out; an empty table
@@ -195,7 +278,7 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*|[?#].*$", "")
     keyed = read.select(host.alias("host"), path.alias("path"), "page_id", "url", "lines", "zones", "hashes")
-    blocks_of = F.filter(F.arrays_zip("hashes", "zones"), lambda x: x["zones"] != OUTSIDE)
+    blocks_of = F.filter(F.arrays_zip("hashes", "zones"), lambda x: x["zones"].isin(OPEN, INSIDE))
     keyed = keyed.withColumn("node", F.xxhash64("host", blocks_of)).withColumn("mark", F.xxhash64("host", "hashes", "zones"))
     # Pairs need hashes only; the texts are read again at the end rather than kept.
     narrow = saved(keyed.select("host", "path", "node", "mark", "hashes"))
@@ -221,7 +304,9 @@ def extract_pages(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     # Characters of the articles: on lines that are the page's own, less those on shared lines.
     own_more = F.aggregate(cells, F.lit(0), lambda acc, x: acc + F.when(x["zones"] != INSIDE, 0).when(x["shared"], -F.length(x["lines"])).otherwise(F.length(x["lines"])))
     full = full.withColumn("copies", own_more <= 0)
-    kept = F.filter(cells, lambda x: (x["zones"] != OUTSIDE) & (~x["shared"] | (F.col("copies") & (x["zones"] == INSIDE))))
+    plain = F.filter(cells, lambda x: x["zones"].isin(OPEN, INSIDE) & (~x["shared"] | (F.col("copies") & (x["zones"] == INSIDE))))
+    marked_only = F.filter(cells, lambda x: (x["zones"] == MARKED) & ~x["shared"])
+    kept = F.when(F.size(plain) > 0, plain).otherwise(marked_only)
     text = F.array_join(F.transform(kept, lambda x: x["lines"]), "\n")
     return full.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), F.size("lines").cast("long").alias("n_lines"),
                        F.size(F.filter("shared", lambda s: s)).cast("long").alias("n_shared"))
