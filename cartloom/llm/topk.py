@@ -35,8 +35,22 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def exact_scores(scores: np.ndarray) -> np.ndarray:
+    """Python's integers back as 64-bit scores; ValueError where one doesn't fit."""
+    if scores.size and max(abs(scores.max()), abs(scores.min())) >= 1 << 63:
+        raise ValueError("an inner product is too large for a 64-bit score")
+    return scores.astype(np.int64)
+
+
 def accumulate(queries: np.ndarray, postings: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:
     """Dense scores of each query, one term after the other: its weight times the term's postings."""
+    most = sum(int(np.abs(queries[:, t]).max(initial=0)) * int(np.abs(w).max(initial=0)) for t, (_, w) in enumerate(postings))
+    if most >= 1 << 62:  # sums might wrap: whole numbers of any size instead
+        wide = np.zeros((len(queries), size), object)
+        for term, (rows, weights) in enumerate(postings):
+            if len(rows):
+                wide[:, rows] += queries[:, term].astype(object)[:, None] * weights.astype(object)[None, :]
+        return exact_scores(wide)
     scores = np.zeros((len(queries), size), np.int64)
     for term, (rows, weights) in enumerate(postings):
         asking = np.flatnonzero(queries[:, term])
@@ -69,22 +83,29 @@ def best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def top_k(
     df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-    scale: int = 256, block_rows: int = 2048, query_rows: int = 16384,
+    scale: int = 256, block_rows: int | None = None, query_rows: int = 16384,
 ) -> DataFrame:
     """The ``k`` rows of highest integer inner product for each query row: query_id, rank, vec_id, score.
 
-    Candidates are dealt into blocks of about ``block_rows``, queries into blocks of about ``query_rows``. Every pair of
+    Candidates are dealt into blocks of about ``block_rows`` (2,048 to ``query_rows`` if not given), queries into blocks of about ``query_rows``. Every pair of
     blocks meets in one task, which scatters the weighted postings of each term into dense scores and keeps ``k``
     by partition selection; a window merges. Memory of a task is bounded by the two block sizes.
 
     ``is_query`` is a condition on ``vec_id``. A query never finds rows of its own id. Ties go to the smaller id. Missing
     dimensions count as zero. Null ids, null vectors and vectors with null or non-finite parts take no part. Repeated
-    candidate rows count each; a repeated query id is asked once, with its smallest vector. An empty table gives no rows.
+    candidate rows count each; a repeated query id is asked once, with its smallest vector. Sums that might wrap are taken in
+    integers of any size; a component or score beyond 64 bits raises an error. An empty table gives no rows.
+
+    Both sides of a meeting are bounded, and blocks are as large as sets where there are many queries: a vector is copied once
+    for each set of queries, a query once for each block.
     """
     rows = integer_vectors(df, id_col, vec_col, scale)
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     counts = rows.select(F.count("*").alias("n"), F.sum(is_query.cast("long")).alias("q"), F.max(F.size("v")).alias("w")).first()
-    blocks, sets, width = max(1, math.ceil(counts.n / block_rows)), max(1, math.ceil((counts.q or 0) / query_rows)), max(1, counts.w or 1)
+    sets, width = max(1, math.ceil((counts.q or 0) / query_rows)), max(1, counts.w or 1)
+    # Small blocks only as far as tasks are needed.
+    tasks = math.ceil(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) / sets)
+    blocks = max(1, math.ceil(counts.n / (block_rows or max(2048, min(query_rows, counts.n // tasks)))))
     spread = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     left = rows.withColumn("block", spread(blocks, 1)).withColumn("set", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
     right = asked.withColumn("set", spread(sets, 2)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
