@@ -97,37 +97,39 @@ def descend(counts: np.ndarray, labels: np.ndarray, n: int, dims: int, epochs: i
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray, false_rejects: float) -> tuple[float, float]:
-    """Temperature of least loss on held-back rows, and the score that all but ``false_rejects`` of them reach."""
+    """Temperature of least loss on rows the model hasn't seen, and the score that all but ``false_rejects`` of them reach."""
     if not len(labels):
         return 1.0, 0.0
     grid = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(softmax(logits / t)[np.arange(len(labels)), labels], 1e-12)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
     scores = np.sort(softmax(logits / temperature).max(axis=1))
-    return temperature, float(min(0.5, scores[int(false_rejects * len(scores))] * 0.9))
+    return temperature, float(scores[int(false_rejects * len(scores))])
 
 
-def sample_rows(docs: DataFrame, may_learn: Column, per_language: int, languages: int) -> DataFrame:
-    """At most ``per_language`` labelled rows, the first by a hash of the text, for each of the most common languages."""
+def sample_rows(docs: DataFrame, may_learn: Column, per_language: int, most_rows: int) -> DataFrame:
+    """Labelled rows, the first by a hash of the text for each label: at most ``per_language``, and fewer where that would
+    give more than ``most_rows`` in all (but two at least)."""
     rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rate = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    rate = rows.groupBy("lang").count()
+    each = max(2, min(per_language, most_rows // max(1, rate.count())))
     turn = F.xxhash64("text", F.lit(11))
     # A hash threshold at twice the wanted number leaves little to rank, however common a language is.
-    few = F.pmod(turn, F.lit(1 << 30)) <= F.least(F.lit(1.0), F.lit(2.0 * per_language + 100) / F.col("count")) * (1 << 30)
-    near = rows.select("lang", "text").join(F.broadcast(rate), "lang").where(few)
-    return near.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(turn))).where(F.col("_n") <= per_language)
+    few = F.pmod(turn, F.lit(1 << 30)) <= F.least(F.lit(1.0), F.lit(2.0 * each + 100) / F.col("count")) * (1 << 30)
+    near = rows.select("lang", "text").join(rate, "lang").where(few)
+    return near.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(turn))).where(F.col("_n") <= each)
 
 
 def train(
-    docs: DataFrame, may_learn: Column, per_language: int = 500, languages: int = 256, dims: int = 16, epochs: int = 12,
-    rate: float = 0.5, false_rejects: float = 0.001, seed: int = 3,
+    docs: DataFrame, may_learn: Column, per_language: int = 500, most_rows: int = 8_000, dims: int = 16, epochs: int = 12,
+    rate: float = 0.5, false_rejects: float = 0.0005, folds: int = 4, seed: int = 3,
 ) -> Model | None:
-    """Fit on a bounded sample: ``per_language`` whole texts for each of at most ``languages`` labels (and no more than
-    20,000 rows in all). Tasks turn texts into subword counts; the driver gets ``BUCKETS`` numbers a row. One row in five is
-    held back to calibrate. None if nothing can be learned.
+    """Fit on a bounded sample: ``per_language`` whole texts for each label, whatever their number, but ``most_rows`` in
+    all (two a label at least). Tasks turn texts into subword counts; the driver gets ``BUCKETS`` numbers a row. Every sampled
+    row is scored by a model learned without its fold; those scores set the temperature and the bound under which ``false_rejects``
+    of known texts would be rejected. None if nothing can be learned.
     """
-    per_language = max(2, min(per_language, 20_000 // max(1, languages))) if languages > 40 else per_language
-    sample = sample_rows(docs, may_learn, per_language, languages)
+    sample = sample_rows(docs, may_learn, per_language, most_rows)
 
     def count(batches):
         for batch in batches:
@@ -140,14 +142,17 @@ def train(
         return None
     names = got["lang"].to_pylist()
     known = sorted(set(names))
-    labels = np.array([known.index(x) for x in names])
+    place = {x: i for i, x in enumerate(known)}
+    labels = np.array([place[x] for x in names])
     counts = np.stack([np.frombuffer(c, np.float32) for c in got["counts"].to_pylist()])
-    held = np.random.default_rng(seed).random(len(labels)) < 0.2
-    if held.all():
-        held[:] = False
-    vectors, weights, bias = descend(counts[~held], labels[~held], len(known), dims, epochs, rate, seed)
-    model = Model(known, vectors, weights, bias, 1.0, 0.0)
-    model.temperature, model.reject_below = calibrate(model.logits(counts[held]), labels[held], false_rejects)
+    fold = np.random.default_rng(seed).permutation(len(labels)) % folds
+    fit = lambda own: Model(known, *descend(counts[own], labels[own], len(known), dims, epochs, rate, seed), 1.0, 0.0)
+    model = fit(np.ones(len(labels), bool))
+    if len(labels) >= folds:
+        logits = np.zeros((len(labels), len(known)), np.float32)
+        for n in range(folds):
+            logits[fold == n] = fit(fold != n).logits(counts[fold == n])
+        model.temperature, model.reject_below = calibrate(logits, labels, false_rejects)
     return model
 
 
