@@ -47,8 +47,9 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, site_col: str = "source") -
     table gives no rows. Only built-in functions run; what is shuffled is a hash a line, and texts once.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    base = docs.select(*keep).withColumn("_doc", F.xxhash64("text"))
-    lines = site_lines(base, site_col)
+    # The caller's columns travel in one struct, so no name of theirs meets one of ours.
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "doc_id", "text", F.col(site_col).alias("site"), F.xxhash64("text").alias("_doc"))
+    lines = site_lines(base, "site")
     common = saved(boilerplate_lines(lines, min_sites))  # so that the join reads two plain shuffles, which Spark can split
     here = F.struct("doc_id", "_doc", "at")
     gone = lines.join(common, "line").where(~here.eqNullSafe(F.col("first"))).groupBy("doc_id", "_doc").agg(F.collect_set("at").alias("_gone"))
@@ -56,7 +57,11 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, site_col: str = "source") -
     marked = base.join(gone.select(F.col("doc_id").alias("_id"), F.col("_doc").alias("_hash"), "_gone"),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_doc") == F.col("_hash")), "left")
     parts = F.split("text", "\n", -1)
-    left = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i))
-    return marked.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long")).withColumn(
-        "n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long")).withColumn(
-        "text", F.when(F.col("n_removed") > 0, F.array_join(left, "\n")).otherwise(F.col("text"))).select(*keep, "n_lines", "n_removed")
+    # Stretches between removed lines are sliced out, so the work follows the lines, not lines times removed ones.
+    cuts = F.concat(F.array(F.lit(-1)), F.array_sort("_gone"), F.array(F.size(parts)))
+    stretches = F.zip_with(F.slice(cuts, F.lit(1), F.size(cuts) - 1), F.slice(cuts, F.lit(2), F.size(cuts) - 1), lambda a, b: F.slice(parts, a + 2, b - a - 1))
+    removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
+    text = F.when(removed > 0, F.array_join(F.flatten(stretches), "\n")).otherwise(F.col("text"))
+    return marked.select(
+        *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in keep],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"), removed.alias("n_removed"))

@@ -319,6 +319,7 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     first = placed.where("n_shingles > 0").groupBy("root").agg(F.min(row).alias("row")).select("row._id", "row._hash")
     empty = sets.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     stay = first.union(empty)
-    hashed = docs.withColumn("_text", F.xxhash64("text"))
-    kept = hashed.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    # The caller's columns travel in one struct, so no name of theirs meets one of ours.
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    kept = hashed.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text_hash"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
