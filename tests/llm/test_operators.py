@@ -312,3 +312,110 @@ def test_longest_common_lines():
             for j, y in enumerate(b):
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
         assert html_extract.longest_common(np.array(a, np.int64), np.array(b, np.int64)).sum() == best[-1][-1]
+
+
+PAGES = {  # names that only look like marks, articles inside marked or unclosed blocks
+    '<body class="home has-sidebar"><article><p>A long story here</p>': "A long story here",
+    '<div class="site header-fixed no-banner"><p>other text</p>': "other text",
+    '<article class="post comments-open"><h1>T</h1><p>unique three</p>': "T\nunique three",
+    '<div class="header"><div>logo</div><article><p>real text</p></article>': "real text",
+    '<article><div class="entry-header"><h1>Title</h1></div><p>body</p></article>': "Title\nbody",
+    '<article><p class="share price">Shares rose</p></article>': "Shares rose",
+    '<form><article><p>in a form</p></article><input></form>': "in a form",
+    '<article><p>story</p><div class="ad"><p>buy now</p></div></article><aside><article><p>teaser</p></article></aside>': "story",
+    '<div class="related"><article><p>teaser</p></article></div><article><p>story</p></article>': "story",
+    '<main class="widget"><p>kept</p></main><div role="navigation"><p>menu</p></div>': "kept",
+    '<div class="sidebar"><p>all there is</p></div>': "all there is",
+}
+
+
+def test_class_names_only_break_ties(spark):
+    rows = [(i, f"http://h{i}.example/a", page) for i, page in enumerate(PAGES)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, host string, mark int")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(df, 2).collect()}
+    assert got == dict(enumerate(PAGES.values()))
+
+
+def test_alignment_of_long_repetitive_pages():
+    """A pair of 20,000 equal lines between different ends, in linear memory and a few seconds."""
+    import time
+
+    a = np.array([1, *[7] * 20_000, 2], np.int64)
+    b = np.array([3, *[7] * 20_000, 4], np.int64)
+    started = time.time()
+    assert html_extract.longest_common(a, b).sum() == 20_000 and time.time() - started < 20
+
+
+def test_both_alignments_are_longest(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(html_extract, "LISTED_PAIRS", 0)
+    for _ in range(120):
+        a, b = (rng.integers(0, 4, rng.integers(0, 30)).tolist() for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        halves, places = html_extract.by_halves(a, b), html_extract.by_places(a, b)
+        assert len(set(halves)) == len(halves) == len(places) == best[-1][-1]
+        seen = iter(b)
+        assert all(a[i] in seen for i in sorted(halves))
+
+
+def test_mixing_draws_repeated_rows_one_by_one(spark):
+    df = spark.createDataFrame([(1, "w " * 50, "a")] * 40 + [(i, "w " * 50, "b") for i in range(2, 42)], "doc_id long, text string, source string")
+    rows = mixing.mix(df).collect()
+    for source in "ab":
+        mine = [r for r in rows if r.source == source]
+        assert len(mine) == 40 and abs(sum(r.taken for r in mine) - mine[0].target) <= 25
+
+
+CLASH = ("rest", "words", "source_no", "n_blocks", "upto", "before", "_source", "_draw", "draw", "block", "_gone", "_id", "_doc", "_hash", "_text", "row", "nth", "at", "site", "key", "root")
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(i, f"line of the document number {i} with some more words in it\nshared line of all", f"s{i % 9}") for i in range(18)]
+    rows += [(20 + i, rows[0][1] + " x", "s1") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = [c for c in CLASH if c != "block"]
+    df = df.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    for found in (mixing.mix(df), mixing.sampled_documents(df), line_dedup.dedup_lines(df), ngram_join.one_of_each(df)):
+        got = found.collect()
+        assert got and set(df.columns) <= set(found.columns) and all(r[c] == f"own {c}" for r in got for c in names)
+    assert mixing.sampled_documents(df).columns == ngram_join.one_of_each(df).columns == df.columns
+
+
+def test_line_dedup_of_a_long_text(spark):
+    """Thousands of removed lines in one text: the work follows the lines."""
+    common = "\n".join(f"boilerplate {i}" for i in range(4000))
+    rows = [(i, common if i < 8 else f"own\n{common}\nend\n", f"s{i}") for i in range(9)]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0].text == common and got[1].text == "" and got[8].text == "own\nend\n" and got[8].n_removed == 4000
+
+
+def test_top_k_beyond_64_bits(spark):
+    far = [3e16, 3e16]
+    df = spark.createDataFrame([(0, [1e3, -1e3]), (1, far), (2, [1.0, -1.0]), (3, [-1.0, 1.0])], "vec_id long, embedding array<double>")
+    rows = topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in rows] == [2, 1, 3] and [r.score for r in rows] == [2 * 256_000 * 256, 0, -2 * 256_000 * 256]
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(df.union(spark.createDataFrame([(4, [3e16, 1.0])], df.schema)), F.col("vec_id") == 1).collect()
+
+
+def test_rejection_is_calibrated(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(real, ~langid.held_out(real, 3))
+    assert 0 < model.reject_below < 1
+    held = langid.identify(real.where(langid.held_out(real, 3)), model).where(F.length("text") > 40).collect()
+    assert sum(r.rejected for r in held) <= 0.01 * len(held)
+    rng = np.random.default_rng(1)
+    junk = [("".join(chr(c) for c in rng.integers(0x4E00, 0x9FFF, 60)),) for _ in range(20)] + [(" ".join("xqzjkw"[i] * 7 for i in rng.integers(0, 6, 12)),) for _ in range(20)]
+    thrown = langid.identify(spark.createDataFrame(junk, "text string"), model).collect()
+    assert sum(r.rejected for r in thrown) >= 0.9 * len(thrown)
+
+
+def test_every_label_is_learned(spark):
+    """300 labels: none is left out, and the sample stays within its bound."""
+    rows = [(n * 10 + i, f"w{n}x " * 8 + "abc"[i % 3], f"l{n}") for n in range(300) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.sample_rows(df, F.lit(True), 500, 1200).count() == 1200
+    assert len(langid.train(df, F.lit(True), most_rows=900, epochs=1, folds=2).languages) == 300
