@@ -2,41 +2,101 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.urls import attribute_values, proxied_image, same_host_link
-from cartloom.operators.exceptions import union_all
 from cartloom.session import checkpointed
 
 
+def doubled(table: DataFrame) -> DataFrame:
+    """Jumps twice as far: ``src, dst`` joined with itself."""
+    onward = table.select(F.col("src").alias("dst"), F.col("dst").alias("_to"))
+    return checkpointed(table.join(onward, "dst").select("src", F.col("_to").alias("dst")))
+
+
+def jump_tables(edges: DataFrame) -> tuple[list[DataFrame], bool]:
+    """Jumps of 1, 2, 4, ... hops, and whether some run for ever.
+
+    A table holds the nodes that still have so many hops before them. Chains die out; where two tables in a row are of
+    one size, all nodes left lead into loops. Then jumps are doubled until they are as long as those nodes are many, so
+    that every one lands on a loop.
+    """
+    tables = [checkpointed(edges)]
+    size = tables[0].count()
+    endless = False
+    while size and not (endless and 1 << (len(tables) - 1) >= size):
+        tables.append(doubled(tables[-1]))
+        before, size = size, tables[-1].count()
+        endless = size == before
+    return (tables if size else tables[:-1]), size > 0
+
+
+def loop_lengths(edges: DataFrame, on_loops: DataFrame) -> DataFrame:
+    """``node, around``: each node of a loop with the loop's length. Windows of 1, 2, 4, ... nodes take their smallest
+    node; once they are longer than any loop, that node names the loop."""
+    steps = edges.join(on_loops.select(F.col("node").alias("src")), "src", "left_semi")
+    seen = checkpointed(steps.select(F.col("src").alias("node"), F.col("dst").alias("to"), F.col("src").alias("low")))
+    size, window = seen.count(), 1
+    while window < size:
+        ahead = seen.select(F.col("node").alias("to"), F.col("to").alias("_to"), F.col("low").alias("_low"))
+        seen = checkpointed(seen.join(ahead, "to").select("node", F.col("_to").alias("to"), F.least("low", "_low").alias("low")))
+        window *= 2
+    return seen.join(seen.groupBy("low").agg(F.count(F.lit(1)).alias("around")), "low").select("node", "around")
+
+
 def walk(starts: DataFrame, edges: DataFrame, max_hops: int | None) -> DataFrame:
-    """Follow ``edges`` (``src, dst``; one per ``src``) from ``starts`` (``start, at, path``).
+    """Follow ``edges`` (``src, dst``; one per ``src``) from the nodes ``start``.
 
-    Gives ``start, at, hops, path, ended`` with ``ended`` one of end, loop, bound. Each round joins
-    only the rows still moving and checkpoints them, so lineage stays one join long and the loop
-    stops with the longest chain. Without ``max_hops`` chains are followed to their end; a path holds as
-    many entries as its chain has hops.
+    Gives ``start, at, hops, ended`` with ``ended`` one of end, loop, bound. A walk ends where there is no edge, at the first node it
+    meets again, or after ``max_hops`` (None: never). Rounds grow with the logarithm of the longest chain: jump tables of
+    1, 2, 4, ... hops are built by joining each with itself, and every walk then takes each jump at most once, the longest first,
+    as long as it doesn't step onto a loop; the loop's length says where it closes.
     """
-    moving = starts.select("start", "at", F.lit(0).alias("hops"), "path")
-    done = []
-    for hop in count():
-        joined = moving.join(edges, F.col("at") == F.col("src"), "left")
-        looped = F.array_contains("path", F.col("at"))
-        state = F.when(F.col("dst").isNull(), "end").when(looped, "loop")
-        if hop == max_hops:
-            done.append(joined.withColumn("ended", F.coalesce(state, F.lit("bound"))).drop("src", "dst"))
-            break
-        round_ = checkpointed(joined.withColumn("ended", state))
-        done.append(round_.where(F.col("ended").isNotNull()).drop("src", "dst"))
-        moving = round_.where(F.col("ended").isNull()).select(
-            "start", F.col("dst").alias("at"), (F.col("hops") + 1).alias("hops"), F.concat("path", F.array("at")).alias("path")
+    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
+    tables, endless = jump_tables(edges)
+    if not tables:
+        return starts.select("start", F.col("start").alias("at"), F.lit(0).alias("hops"), F.lit("end").alias("ended"))
+    jump = lambda n: tables[n].select(F.col("src").alias("at"), F.col("dst").alias("_to"))
+    begun = starts.select("start", F.col("start").alias("at"), F.lit(0).cast("bigint").alias("hops"))
+    loops = None
+    if endless:
+        loops = loop_lengths(tables[0], checkpointed(tables[-1].select(F.col("dst").alias("node")).distinct()))
+        there = loops.select(F.col("node").alias("at"), F.lit(True).alias("_there"))
+        begun = begun.join(there, "at", "left").withColumn("inside", F.coalesce("_there", F.lit(False))).drop("_there")
+    else:
+        begun = begun.withColumn("inside", F.lit(False))
+    moving = begun
+    for n in range(len(tables) - 1, -1, -1):
+        step = jump(n)
+        if loops is not None:  # a jump onto a loop would pass its entry
+            step = step.join(loops.select(F.col("node").alias("_to")), "_to", "left_anti")
+        joined = moving.join(step, "at", "left")
+        go = F.col("_to").isNotNull() & ~F.col("inside")
+        moving = joined.select(
+            "start", F.when(go, F.col("_to")).otherwise(F.col("at")).alias("at"), (F.col("hops") + F.when(go, 1 << n).otherwise(0)).alias("hops"), "inside"
         )
-        if moving.isEmpty():
-            break
-    return union_all([d.select("start", "at", "hops", "path", "ended") for d in done])
+    if loops is None:
+        ended = moving.withColumn("ended", F.lit("end"))
+    else:
+        # one more hop enters the loop, unless the walk began on it
+        last = moving.join(jump(0), "at", "left")
+        enters = F.col("_to").isNotNull() & ~F.col("inside")
+        last = last.select("start", F.when(enters, F.col("_to")).otherwise(F.col("at")).alias("at"), (F.col("hops") + enters.cast("bigint")).alias("hops"))
+        closed = last.join(loops.withColumnRenamed("node", "at"), "at", "left")
+        ended = closed.select(
+            "start", "at", (F.col("hops") + F.coalesce("around", F.lit(0))).alias("hops"), F.when(F.col("around").isNotNull(), "loop").otherwise("end").alias("ended")
+        )
+    ended = checkpointed(ended.select("start", "at", F.col("hops").cast("int").alias("hops"), "ended"))
+    if max_hops is None:
+        return ended
+    # longer walks stop at the bound: its binary digits say which jumps lead there
+    cut = ended.where(F.col("hops") > max_hops).select("start", F.col("start").alias("at"))
+    for n in range(len(tables)):
+        if max_hops >> n & 1:
+            cut = cut.join(jump(n), "at").select("start", F.col("_to").alias("at"))
+    cut = cut.select("start", "at", F.lit(max_hops).alias("hops"), F.lit("bound").alias("ended"))
+    return ended.where(F.col("hops") <= max_hops).unionByName(cut)
 
 
 def collapse_chains(
@@ -48,13 +108,11 @@ def collapse_chains(
     repeated path and a longer chain at the bound; both stay visible to :func:`map_integrity`.
     """
     is_moved = F.lit(True) if moved is None else moved
-    edges = redirects.where(is_moved).select(F.col(source).alias("src"), F.col(destination).alias("dst"))
-    # only rows whose destination redirects again have anything to walk
-    chained = edges.join(edges.select(F.col("src").alias("dst")), "dst", "left_semi").select(
-        F.col("src").alias("start"), F.col("dst").alias("at"), F.array("src").alias("path")
-    )
-    ends = walk(chained, edges, max_hops).select(
-        F.col("start").alias(source), F.col("at").alias("_final"), F.col("hops").alias("_hops")
+    edges = checkpointed(redirects.where(is_moved).select(F.col(source).alias("src"), F.col(destination).alias("dst")))
+    # only rows whose destination redirects again have anything to walk; their own hop doesn't count
+    chained = edges.join(edges.select(F.col("src").alias("dst")), "dst", "left_semi").select(F.col("src").alias("start"))
+    ends = walk(chained, edges, None if max_hops is None else max_hops + 1).select(
+        F.col("start").alias(source), F.col("at").alias("_final"), (F.col("hops") - 1).alias("_hops")
     )
     return (
         redirects.join(ends, source, "left")
@@ -117,8 +175,7 @@ def walk_hops(fetches: DataFrame, starts: DataFrame, max_hops: int = 5) -> DataF
     """
     redirect = F.col("status").isin(301, 302, 303, 307, 308) & F.col("location").isNotNull()
     edges = fetches.where(redirect).select(F.col("url").alias("src"), F.col("location").alias("dst"))
-    begun = starts.select(F.col("url").alias("start"), F.col("url").alias("at"), F.array().cast("array<string>").alias("path"))
-    ends = walk(begun, edges, max_hops)
+    ends = walk(starts.select(F.col("url").alias("start")), edges, max_hops)
     statuses = fetches.select(F.col("url").alias("at"), F.col("status").alias("_status"))
     return ends.join(statuses, "at", "left").select(
         "start",
@@ -126,7 +183,6 @@ def walk_hops(fetches: DataFrame, starts: DataFrame, max_hops: int = 5) -> DataF
         F.col("at").alias("final_url"),
         F.when(F.col("ended") == "end", F.col("_status")).alias("final_status"),
         "ended",
-        "path",
     )
 
 

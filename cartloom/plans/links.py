@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.functions.html import html_to_text, sanitize_html
+from cartloom.functions.html import ALLOWED_TAGS, DROP_VOID, DROP_WITH_CONTENT, ENTITIES, SELF_CLOSING, html_to_text, sanitize_html
 from cartloom.functions.urls import normalize_url
 from cartloom.operators import audit, graph, quality, redirects
 from cartloom.operators.exceptions import union_all
@@ -109,8 +109,42 @@ def content_words(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "words", "shortcodes")
 
 
-@query("sanitize_pages")
+def sanitize_sql() -> str:
+    """The rules step by step: comments, declarations, listed elements in their order, then every tag and run of text on its own.
+    Only links carry attributes in the table."""
+    def without(text: str) -> str:
+        for tag in DROP_WITH_CONTENT:
+            text = f"regexp_replace(regexp_replace({text}, '<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'gis'), '</?{tag}\\b[^>]*>', '', 'gi')"
+        for tag in DROP_VOID:
+            text = f"regexp_replace({text}, '<{tag}\\b[^>]*>', '', 'gi')"
+        return text
+
+    names = ", ".join(f"'{t}'" for t in ALLOWED_TAGS)
+    alone = ", ".join(f"'{t}'" for t in SELF_CLOSING)
+    bare = "regexp_replace(html, '<!--.*?-->', '', 'gs')"
+    link = "regexp_extract(t, 'href=\"([^\"]*)\"', 1)"
+    safe = f"regexp_matches({link}, '(?i)^(https?:|mailto:|tel:|#|/([^/]|$))')"
+    escaped = f"replace(replace(replace({link}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    plain = f"regexp_replace({without(bare)}, '<[^>]*>', ' ', 'g')"
+    for entity, sign in ENTITIES:
+        plain = f"regexp_replace({plain}, '&{entity};', '{sign}', 'gi')"
+    return f"""
+    WITH p AS (SELECT page_id, regexp_extract_all({without(f"regexp_replace({bare}, '<!.*?>', '', 'gs')")}, '<[^>]*>|[^<]+|<') AS tokens,
+        trim(regexp_replace({plain}, '\s+', ' ', 'g')) AS plain FROM pages),
+    n AS (SELECT page_id, plain, list_transform(tokens, lambda t: struct_pack(t := t, n := lower(regexp_extract(t, '^</?([a-zA-Z][a-zA-Z0-9:-]*)', 1)))) AS tokens FROM p),
+    m AS (SELECT page_id, plain, array_to_string(list_transform(tokens, lambda x: CASE WHEN x.n = '' THEN x.t WHEN x.n NOT IN ({names}) THEN ''
+        WHEN x.t LIKE '</%' THEN CASE WHEN x.n IN ({alone}) THEN '' ELSE '</' || x.n || '>' END
+        WHEN x.n IN ({alone}) THEN '<' || x.n || ' />'
+        WHEN x.n = 'a' AND x.t LIKE '% href=%' AND {safe.replace("(t,", "(x.t,")} THEN '<a href="' || {escaped.replace("(t,", "(x.t,")} || '">'
+        ELSE '<' || x.n || '>' END), '') AS markup FROM n)
+    SELECT page_id, md5(regexp_replace(regexp_replace(markup, '[ \t]*\n[ \t\n]*', chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS markup,
+      CASE WHEN length(plain) > 200 THEN rtrim(plain[1:199]) || '…' ELSE plain END AS excerpt FROM m
+    """
+
+
+@query("sanitize_pages", sanitize_sql())
 def sanitize_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Display-safe markup and excerpts of whole pages."""
     clean = sanitize_html(F.col("html"))
     return table(spark, folder, "pages").select(
         "page_id", F.md5(clean).alias("markup"), html_to_text(F.col("html"), 200).alias("excerpt")

@@ -276,3 +276,16 @@ def test_register_file(spark, tmp_path):
     spark.createDataFrame(rows, REGISTER).write.csv(path, header=True, escape='"', quoteAll=True)
     assert [tuple(r) for r in read_exception_register(spark, path).collect()] == rows
     assert read_exception_register(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_crossing_elements_go_in_list_order(spark):
+    from cartloom.functions.html import html_to_text, sanitize_html
+
+    cases = {
+        '<p>x</p><form>a<script>var t="</form>";</script>b</form><p>y</p>': ("<p>x</p><p>y</p>", "x y"),
+        "<form>q<svg></form>w</svg>": ("q", "q"),
+        "<!DOCTYPE html><!-- <script> --><p>k</p>": ("<p>k</p>", "k"),
+        "<SCRIPT>a</script ><p>z</p><style>": ("<p>z</p>", "z"),
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "html string").select("html", sanitize_html(F.col("html")).alias("s"), html_to_text(F.col("html")).alias("t"))
+    assert {r.html: (r.s, r.t) for r in rows.collect()} == cases

@@ -14,7 +14,7 @@ from check_queries import compare  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
 #: Queries without a twin, each held against rows worked out by hand or by brute force elsewhere in the tests.
-NO_TWIN = {"variant_exceptions", "media_records", "rewritten_bodies", "product_json_ld", "content_words", "sanitize_pages", "pipeline"}
+NO_TWIN = {"variant_exceptions", "media_records", "rewritten_bodies", "product_json_ld", "content_words", "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

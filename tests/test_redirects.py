@@ -181,3 +181,49 @@ def test_page_metadata(spark):
     frontier = graph.image_frontier(spark.createDataFrame([(1, "/p", '<img src="/_next/image?url=%2Fa.png&w=1"><img src="/a.png">')], "n int, url string, html string"), "n").collect()
     assert [(r.image, r.referrer) for r in frontier] == [("/a.png", "/p")]
     assert shopdata.SITE.startswith("https")
+
+
+def brute_walk(edges, start, bound):
+    at, hops, seen = start, 0, set()
+    while True:
+        if at not in edges:
+            return at, hops, "end"
+        if at in seen:
+            return at, hops, "loop"
+        if hops == bound:
+            return at, hops, "bound"
+        seen.add(at)
+        at, hops = edges[at], hops + 1
+
+
+@pytest.mark.parametrize("bound", [None, 0, 1, 5, 6, 100])
+def test_walk_against_brute_force(spark, bound):
+    import random
+
+    from cartloom.operators.graph import walk
+
+    rnd = random.Random(4)
+    edges = {f"n{i}": f"n{rnd.randrange(60)}" for i in range(0, 60) if rnd.random() < 0.9}
+    edges |= {f"c{i}": f"c{i + 1}" for i in range(37)} | {"self": "self", "into": "self"}
+    df = spark.createDataFrame(list(edges.items()), "src string, dst string")
+    nodes = sorted(set(edges) | set(edges.values()))
+    found = walk(spark.createDataFrame([(n,) for n in nodes], "start string"), df, bound)
+    got = {r.start: (r["at"], r.hops, r.ended) for r in found.collect()}
+    assert got == {n: brute_walk(edges, n, bound) for n in nodes}
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """5,000 hops and a loop of 1,000: rounds grow with the logarithm."""
+    from cartloom.operators import graph
+
+    rounds, real = [], graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: rounds.append(1) or real(df))
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(5000)]
+    ends = {r.source_path: (r.destination, r.collapsed) for r in graph.collapse_chains(
+        spark.createDataFrame(chain, "source_path string, destination string"), max_hops=None).collect()}
+    assert ends["c0"] == ("c5000", 4999) and ends["c4998"] == ("c5000", 1) and ends["c4999"] == ("c5000", 0) and len(rounds) < 20
+    rounds.clear()
+    loop = [(f"l{i}", f"l{(i + 1) % 1000}") for i in range(1000)] + [("t0", "t1"), ("t1", "l5")]
+    found = {r.start: (r["at"], r.hops, r.ended) for r in graph.walk(
+        spark.createDataFrame([("t0",), ("l7",)], "start string"), spark.createDataFrame(loop, "src string, dst string"), None).collect()}
+    assert found == {"t0": ("l5", 1002, "loop"), "l7": ("l7", 1000, "loop")} and len(rounds) < 30
