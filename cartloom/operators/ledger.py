@@ -122,20 +122,18 @@ def upsert(ledger: DataFrame, batch: DataFrame, counters: DataFrame | None = Non
     marked = merged.withColumn("outcome", outcome)
     last = ledger.groupBy("resource").agg(F.max("id").alias("last_id"))
     if counters is not None:
-        last = last.unionByName(counters).groupBy("resource").agg(F.max("last_id").alias("last_id"))
-    known = marked.where((F.col("outcome") != "created") | F.col("outcome").isNull()).withColumn("id", F.col("_id"))
+        kept = counters.groupBy("resource").agg(F.max("last_id").alias("_kept"))
+        last = last.join(kept, "resource", "full").select("resource", F.greatest("last_id", "_kept").alias("last_id"))
     order = F.conv(F.substring(F.md5("key"), 1, 13), 16, 10).cast("bigint")
     extra = {} if max_group_rows is None else {"max_rows": max_group_rows}
-    created = (
-        numbered(
-            marked.where(F.col("outcome") == "created").withColumn("_order", order),
-            ["resource"], ["_order", "key"], ["_order"], out="_n", **extra,
-        )
+    created = marked.where(F.col("outcome") == "created").select("resource", "key").withColumn("_order", order)
+    turns = numbered(created, ["resource"], ["_order", "key"], ["_order"], out="_n", **extra).drop("_order")
+    # one more join on the keys both sides are dealt by already; a union of known and new rows would need two scans
+    every = (
+        marked.join(turns, ["resource", "key"], "left")
         .join(last, "resource", "left")
-        .withColumn("id", F.coalesce("last_id", F.lit(0).cast("bigint")) + F.col("_n"))
-        .drop("_order", "_n", "last_id")
+        .withColumn("id", F.coalesce("_id", F.coalesce("last_id", F.lit(0).cast("bigint")) + F.col("_n")))
     )
-    every = known.unionByName(created)
     take_new = F.col("outcome").isin("created", "updated")
     return every.select(
         "resource",

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.functions.money import cents
 from cartloom.operators import ledger as lg
+from cartloom.operators import ledger_store as store
 from cartloom.operators import targets
 from cartloom.plans.registry import query, table
+from cartloom.session import checkpoint_dir, checkpointed
 
 
 def part_rows(spark: SparkSession, folder: str, price: Column) -> DataFrame:
@@ -329,3 +333,28 @@ def media_reuse_match(spark: SparkSession, folder: str) -> DataFrame:
     )
     claimed = part.where(F.col("p_brand") == "Brand#8").select(F.lit("MediaImage").alias("resource"), F.col("p_partkey").alias("id"))
     return targets.media_reuse_match(wanted, live, claimed)
+
+
+@query(
+    "ledger_store",
+    """
+    WITH b AS (SELECT o_orderkey AS k, 'order-' || o_orderkey AS key, CAST(unnest(CASE WHEN o_orderkey % 5 = 0 THEN [1, 2, 3] WHEN o_orderkey % 3 = 0 THEN [0, 2] WHEN o_orderkey % 7 = 0 THEN [3] ELSE [0] END) AS INT) AS n,
+        o_orderstatus AS payload FROM orders),
+    f AS (SELECT key, min(n) AS first, max(n) AS last, arg_max(payload, n) AS payload FROM b GROUP BY key),
+    i AS (SELECT *, row_number() OVER (ORDER BY first, substr(md5(key), 1, 13), key) AS id FROM f)
+    SELECT 'Order' AS resource, key, id, md5(payload || CASE WHEN last = 2 THEN '0' ELSE CAST(last AS VARCHAR) END) AS checksum, payload FROM i
+    """,
+)
+def ledger_store(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders loaded in four batches that overlap, with compaction: the store's ledger at the end. Batch 2 brings
+    the checksums of batch 0, so rows that it finds unchanged write nothing."""
+    k = F.col("o_orderkey")
+    turns = F.when(k % 5 == 0, F.array(*map(F.lit, (1, 2, 3)))).when(k % 3 == 0, F.array(F.lit(0), F.lit(2))).when(k % 7 == 0, F.array(F.lit(3))).otherwise(F.array(F.lit(0)))
+    rows = table(spark, folder, "orders").select(
+        F.lit("Order").alias("resource"), F.concat(F.lit("order-"), k).alias("key"), F.col("o_orderstatus").alias("payload"), F.explode(turns).alias("n"))
+    mark = F.when(F.col("n") == 2, 0).otherwise(F.col("n")).cast("string")
+    rows = checkpointed(rows.withColumn("checksum", F.md5(F.concat("payload", mark))))
+    at = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    for n in range(4):
+        store.apply_batch(at, rows.where(F.col("n") == n).drop("n"), "load", n, fanout=3, buckets=8)
+    return store.read_store(spark, at)

@@ -17,8 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from cartloom.functions import forms
 from cartloom.operators import events as ev
-from cartloom.operators.ledger import next_version, read_ledger, upsert
-from cartloom.sources.snapshot import path_exists
+from cartloom.operators.ledger_store import FANOUT, apply_batch
 
 
 def _stateful(
@@ -169,21 +168,17 @@ def ecommerce_metrics(stream: DataFrame, fallback_currency: str, window: str = "
     )
 
 
-def ledger_writer(folder: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: upsert a micro-batch of payload rows into the next ledger version.
+def ledger_writer(folder: str, writer: str | None = None, fanout: int = FANOUT) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: upsert a micro-batch of payload rows into the ledger store in ``folder``.
 
-    Version ``n`` is always built from ``n - 1``, so a repeated batch rewrites the same folder with
-    the same rows. Only the first batch starts with no version before it.
+    What is written follows the batch (see :mod:`cartloom.operators.ledger_store`). A batch that Spark repeats after a restart
+    is known by the query's id, which its checkpoint keeps, and its epoch, and changes nothing. A query without that
+    checkpoint has a new id and goes on from the ledger as it is. ``writer`` names a caller that is not a stream.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        name = lambda n: f"batch-{n:09d}"
-        previous = name(epoch - 1) if epoch else None
-        if previous and not path_exists(spark, f"{folder}/{previous}"):
-            raise FileNotFoundError(f"ledger version {previous} is missing; a new ledger would lose its ids")
+        name = writer or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         last = batch.groupBy("resource", "key").agg(F.max_by(F.struct("payload", "checksum"), "seq").alias("l")).select("resource", "key", "l.*")
-        merged = upsert(read_ledger(spark, folder, previous), last)
-        next_version(merged).write.mode("overwrite").partitionBy("resource").parquet(f"{folder}/{name(epoch)}")
+        apply_batch(folder, last, name, epoch, fanout)
 
     return write

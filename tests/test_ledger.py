@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cartloom.operators import ledger as lg
 from cartloom.operators import media, quality, targets
 from cartloom.operators.transform import body_docs
+from cartloom.operators.ledger_store import read_store
 from cartloom.streaming.jobs import ledger_writer
 
 CDN = "https://cdn.invalid/files"
@@ -109,9 +110,9 @@ def test_versions_and_stream_writer(spark, tmp_path, loaded):
     write(spark.createDataFrame([(1, "Page", "a", "1", "{}"), (2, "Page", "a", "2", "{}"), (3, "Page", "b", "1", "{}")], rows), 0)
     batch = spark.createDataFrame([(4, "Page", "b", "9", "{}"), (5, "Page", "c", "1", "{}")], rows)
     write(batch, 1)
-    once = sorted(map(tuple, lg.read_ledger(spark, str(tmp_path / "stream"), "batch-000000001").collect()))
+    once = sorted(map(tuple, read_store(spark, str(tmp_path / "stream")).collect()))
     write(batch, 1)
-    assert once == sorted(map(tuple, lg.read_ledger(spark, str(tmp_path / "stream"), "batch-000000001").collect()))
+    assert once == sorted(map(tuple, read_store(spark, str(tmp_path / "stream")).collect()))
     assert {(r[1], r[3]) for r in once} == {("a", "2"), ("b", "9"), ("c", "1")}
 
 
