@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import slices, utf8
+from cartloom.llm.common import saved, slices, utf8
 
 UNKNOWN = "und"
 BUCKETS = 4096
+#: Labels up to which their table of counts is sent to every task.
+SENT_LABELS = 100_000
 LETTER = re.compile(r"[^\W\d_]")
 #: Every byte that isn't part of a word's letters counts as one boundary mark.
 _MARK = np.arange(256, dtype=np.uint32)
@@ -111,8 +113,11 @@ def sample_rows(docs: DataFrame, may_learn: Column, per_language: int, most_rows
     """Labelled rows, the first by a hash of the text for each label: at most ``per_language``, and fewer where that would
     give more than ``most_rows`` in all (but two at least)."""
     rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rate = rows.groupBy("lang").count()
-    each = max(2, min(per_language, most_rows // max(1, rate.count())))
+    rate = saved(rows.groupBy("lang").count())
+    labels = rate.count()
+    each = max(2, min(per_language, most_rows // max(1, labels)))
+    # Sent to the tasks only where it is known to be small; a join by label would put a common one into one task.
+    rate = F.broadcast(rate) if labels <= SENT_LABELS else rate
     turn = F.xxhash64("text", F.lit(11))
     # A hash threshold at twice the wanted number leaves little to rank, however common a language is.
     few = F.pmod(turn, F.lit(1 << 30)) <= F.least(F.lit(1.0), F.lit(2.0 * each + 100) / F.col("count")) * (1 << 30)
