@@ -128,7 +128,7 @@ def sanitize_sql() -> str:
     plain = f"regexp_replace({without(bare)}, '<[^>]*>', ' ', 'g')"
     for entity, sign in ENTITIES:
         plain = f"regexp_replace({plain}, '&{entity};', '{sign}', 'gi')"
-    return f"""
+    return rf"""
     WITH p AS (SELECT page_id, regexp_extract_all({without(f"regexp_replace({bare}, '<!.*?>', '', 'gs')")}, '<[^>]*>|[^<]+|<') AS tokens,
         trim(regexp_replace({plain}, '\s+', ' ', 'g')) AS plain FROM pages),
     n AS (SELECT page_id, plain, list_transform(tokens, lambda t: struct_pack(t := t, n := lower(regexp_extract(t, '^</?([a-zA-Z][a-zA-Z0-9:-]*)', 1)))) AS tokens FROM p),
