@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["orders", "archives", "catalog", "listing", "loads", "links", "events"]
+MODULES = ["orders", "archives", "reconcile", "catalog", "listing", "loads", "links", "events"]
 
 
 def load_queries():
