@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cartloom.functions.urls import deployment_url
 from cartloom.operators.exceptions import union_all
 from cartloom.operators.quality import duplicate_values
+from cartloom.operators.selection import nth_rows
 from cartloom.operators.skew import MAX_GROUP_ROWS, numbered
 
 # Fixed values.
@@ -189,11 +190,8 @@ def even_sample(df: DataFrame, order: str, spread: Column, n: int) -> DataFrame:
 
 
 def median_run(runs: DataFrame, keys: Sequence[str], score: str, tie: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """The lower-middle run by score of each page. Pages with very many runs are ranked in ranges."""
-    ranked = numbered(runs, keys, [score, tie], [score], out="_at", max_rows=max_rows)
-    sizes = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_runs"))
-    middle = F.floor((F.col("_runs") - 1) / 2) + 1
-    return ranked.join(sizes, list(keys)).where(F.col("_at") == middle).drop("_at", "_runs")
+    """The lower-middle run by score of each page. Pages with very many runs are narrowed to the middle, never sorted."""
+    return nth_rows(runs, keys, [score, tie], lambda n: F.floor((n - 1) / 2) + 1, max_rows)
 
 
 def performance_verdict(performance: Column, lcp_ms: Column, cls: Column) -> Column:
