@@ -5,6 +5,11 @@ The events themselves carry no watermark. Unbounded streams need one to let stat
 takes a delay: events later than it are dropped by Spark's state operators (and counted in the query
 progress as rows dropped by watermark). Micro-batches are bounded by the source's admission options
 (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``), which also bound what one key brings at a time.
+
+``order_seconds`` of the stateful jobs is 0 for an answer in the micro-batch that brings the row: rows of one key are then
+ordered within that micro-batch. Above 0 rows wait in state, in slots of so many seconds of event time, until the watermark
+passes their slot. Verdicts then equal the batch twin's for rows that come in any order within the delay, and a task holds one
+slot of one key. Rows of a last slot that the watermark never passes stay in state.
 """
 
 from __future__ import annotations
@@ -20,6 +25,9 @@ from cartloom.operators import events as ev
 from cartloom.operators.ledger_store import FANOUT, apply_batch
 
 
+SECOND = 1_000_000
+
+
 def _stateful(
     rows: DataFrame, key: Column, ts: str, seq: str, processor: StatefulProcessor, fields: str, delay: str, extra: dict[str, Column] | None = None
 ) -> DataFrame:
@@ -36,72 +44,64 @@ def _stateful(
     )
 
 
-def dedupe_deliveries(stream: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = ev.TTL_SECONDS, delay: str = "10 minutes") -> DataFrame:
+def dedupe_deliveries(
+    stream: DataFrame, id_: str, ts: str, seq: str, ttl_seconds: int = ev.TTL_SECONDS, delay: str = "10 minutes", order_seconds: int = 0
+) -> DataFrame:
     """``seq, us, duplicate`` of each delivery; a blank id bypasses the state."""
     blank = F.coalesce(F.col(id_).cast("string"), F.lit("")) == ""
-    named = _stateful(
-        stream.where(~blank), F.col(id_).cast("string"), ts, seq, _seen(ttl_seconds), "seq bigint, us bigint, duplicate boolean", delay
-    )
+    from cartloom.streaming.state import SeenDeliveries
+
+    seen = SeenDeliveries(ttl_seconds * SECOND, order_seconds * SECOND)
+    named = _stateful(stream.where(~blank), F.col(id_).cast("string"), ts, seq, seen, "seq bigint, us bigint, duplicate boolean", delay)
     free = stream.where(blank).select(
         F.col(seq).cast("bigint").alias("seq"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.lit(False).alias("duplicate")
     )
     return named.unionByName(free)
 
 
-def _seen(ttl_seconds: int) -> StatefulProcessor:
-    from cartloom.streaming.state import SeenDeliveries
-
-    return SeenDeliveries(ttl_seconds * 1_000_000)
-
-
 def drop_repeats(stream: DataFrame, id_: str, ts: str, delay: str = "10 minutes") -> DataFrame:
     """Variant without the restarting clock: the first delivery of an id within the watermark."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_])
 
 
-def page_view_dedupe(stream: DataFrame, session: str, ts: str, seq: str, path: Column, keep_seconds: int = 86_400, delay: str = "10 minutes") -> DataFrame:
+def page_view_dedupe(
+    stream: DataFrame, session: str, ts: str, seq: str, path: Column, keep_seconds: int = 86_400, delay: str = "10 minutes", order_seconds: int = 0
+) -> DataFrame:
     """``seq, us, send`` of each view. A session idle for ``keep_seconds`` is forgotten."""
     from cartloom.streaming.state import LastPath
 
-    return _stateful(
-        stream, F.col(session).cast("string"), ts, seq, LastPath(keep_seconds * 1_000_000), "seq bigint, us bigint, send boolean", delay, {"path": path}
-    )
+    last = LastPath(keep_seconds * SECOND, order_seconds * SECOND)
+    return _stateful(stream, F.col(session).cast("string"), ts, seq, last, "seq bigint, us bigint, send boolean", delay, {"path": path})
 
 
 def rate_limit(
-    stream: DataFrame, key: Column, ts: str, seq: str, limit: int = ev.LIMIT, window_seconds: int = ev.WINDOW_SECONDS, delay: str = "10 minutes"
+    stream: DataFrame, key: Column, ts: str, seq: str, limit: int = ev.LIMIT, window_seconds: int = ev.WINDOW_SECONDS, delay: str = "10 minutes",
+    order_seconds: int = 0,
 ) -> DataFrame:
     """``seq, us, allowed, remaining, wait_us`` of each hit."""
     from cartloom.streaming.state import SlidingLog
 
     fields = "seq bigint, us bigint, allowed boolean, remaining bigint, wait_us bigint"
-    return _stateful(stream, key.cast("string"), ts, seq, SlidingLog(limit, window_seconds * 1_000_000), fields, delay)
+    log = SlidingLog(limit, window_seconds * SECOND, order_seconds * SECOND)
+    return _stateful(stream, key.cast("string"), ts, seq, log, fields, delay)
 
 
-def webhook_outcomes(stream: DataFrame, secret: str, shops: Sequence[str], ttl_seconds: int = ev.TTL_SECONDS, delay: str = "10 minutes") -> DataFrame:
+def webhook_outcomes(
+    stream: DataFrame, secret: str, shops: Sequence[str], ttl_seconds: int = ev.TTL_SECONDS, delay: str = "10 minutes", order_seconds: int = 0
+) -> DataFrame:
     """``seq, outcome, tags``: verified and allowed deliveries go through the duplicate memory, the
-    rest keep their rejection. The plan travels with the row as JSON through the state operator's
-    key, so no stream-stream join is needed."""
+    rest keep their rejection. The plan travels with the row through the state operator, so no
+    stream-stream join is needed."""
     checked = ev.webhook_checks(stream, secret, shops)
     accepted = checked.where(F.col("rejected").isNull())
     blank = F.coalesce("webhook_id", F.lit("")) == ""
     from cartloom.streaming.state import SeenDeliveries
 
-    class Carrying(SeenDeliveries):
-        """Adds the plan of each row to the verdict."""
-
-        def handleInputRows(self, key, rows, timerValues):
-            batches = list(rows)
-            import pandas as pd
-
-            plans = pd.concat(batches, ignore_index=True)[["seq", "topic", "tags", "known"]]
-            for verdicts in super().handleInputRows(key, iter(batches), timerValues):
-                yield verdicts.merge(plans, on="seq")
-
+    seen = SeenDeliveries(ttl_seconds * SECOND, order_seconds * SECOND, ("topic", "tags", "known"))
     shape = "seq bigint, us bigint, duplicate boolean, topic string, tags array<string>, known boolean"
     plan = {"topic": F.col("plan.topic"), "tags": F.col("plan.tags"), "known": F.col("plan.known")}
     remembered = _stateful(
-        accepted.where(~blank), F.col("webhook_id"), "received_at", "seq", Carrying(ttl_seconds * 1_000_000), shape, delay, plan
+        accepted.where(~blank), F.col("webhook_id"), "received_at", "seq", seen, shape, delay, plan
     ).withColumn("rejected", F.lit(None).cast("string"))
 
     def bypass(rows: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def webhook_outcomes(stream: DataFrame, secret: str, shops: Sequence[str], ttl_s
 
 
 def contact_outcomes(
-    stream: DataFrame, secret: str | None, limit: int = ev.LIMIT, window_seconds: int = ev.WINDOW_SECONDS, delay: str = "10 minutes"
+    stream: DataFrame, secret: str | None, limit: int = ev.LIMIT, window_seconds: int = ev.WINDOW_SECONDS, delay: str = "10 minutes", order_seconds: int = 0
 ) -> DataFrame:
     """``seq, outcome, answer``: honeypot, token, rate limit, validation, in that order."""
     from cartloom.streaming.state import SlidingLog
@@ -129,20 +129,10 @@ def contact_outcomes(
         .withColumn("_invalid", F.size(forms.contact_errors(values)))
     )
 
-    class Carrying(SlidingLog):
-        """Adds the number of field errors to the verdict."""
-
-        def handleInputRows(self, key, rows, timerValues):
-            batches = list(rows)
-            import pandas as pd
-
-            errors = pd.concat(batches, ignore_index=True)[["seq", "invalid"]]
-            for verdicts in super().handleInputRows(key, iter(batches), timerValues):
-                yield verdicts.merge(errors, on="seq")
-
+    log = SlidingLog(limit, window_seconds * SECOND, order_seconds * SECOND, ("invalid",))
     fields = "seq bigint, us bigint, allowed boolean, remaining bigint, wait_us bigint, invalid int"
     limited = _stateful(
-        checked.where(F.col("_rejected").isNull()), F.col("_key"), "ts", "id", Carrying(limit, window_seconds * 1_000_000), fields, delay,
+        checked.where(F.col("_rejected").isNull()), F.col("_key"), "ts", "id", log, fields, delay,
         {"invalid": F.col("_invalid")},
     ).select("seq", "allowed", "invalid", F.lit(None).cast("string").alias("rejected"))
     refused = checked.where(F.col("_rejected").isNotNull()).select(

@@ -232,3 +232,60 @@ def test_stream_drop_repeats(spark, tmp_path):
     rows = spark.createDataFrame([("a", START + timedelta(seconds=i), i) for i in range(6)] + [("b", START, 9)], "key string, ts timestamp, id long")
     out = replay(spark, tmp_path, rows, ["ts", "id"], lambda s: jobs.drop_repeats(s, "key", "ts", "1 hour"), batches=2)
     assert sorted(r.key for r in out.collect()) == ["a", "b"]
+
+
+def out_of_order(rows, reach, seed=5):
+    """Rows as a stream may bring them: each up to ``reach`` late; last one row far ahead, which lets the watermark pass all others."""
+    rnd = random.Random(seed)
+    return sorted(rows, key=lambda r: r[1] + timedelta(seconds=rnd.uniform(0, reach)))
+
+
+def event_time_replay(spark, tmp_path, rows, schema, job, batches=4):
+    """``rows`` in order of arrival, with a restart after the first micro-batch."""
+    arrivals = [(*r, i) for i, r in enumerate(rows)]
+    last = max(r[1] for r in rows) + timedelta(days=9)
+    arrivals.append((*[("end" if i == 0 else last if i == 1 else -1 if i == 2 else "/") for i in range(len(rows[0]))], len(rows)))
+    df = spark.createDataFrame(arrivals, schema + ", arrival long")
+    out = replay(spark, tmp_path, df, ["arrival"], job, batches)
+    return out.where("seq >= 0")
+
+
+@pytest.mark.parametrize("slot", [1, 60, 90])
+def test_stream_deliveries_out_of_order(spark, tmp_path, slot):
+    rows = hits(150, keys=("a", "b"))
+    mixed = out_of_order(rows, 1800)
+    assert mixed != rows
+    out = event_time_replay(
+        spark, tmp_path, mixed, "key string, ts timestamp, id long", lambda s: jobs.dedupe_deliveries(s, "key", "ts", "id", 90, "1 hour", slot)
+    )
+    found = out.collect()
+    assert len(found) == 150 and {r.seq: r.duplicate for r in found} == brute_seen(rows, timedelta(seconds=90))
+
+
+def test_stream_rate_limit_out_of_order(spark, tmp_path):
+    rows = hits(150)
+    out = event_time_replay(
+        spark, tmp_path, out_of_order(rows, 1800), "key string, ts timestamp, id long",
+        lambda s: jobs.rate_limit(s, F.col("key"), "ts", "id", 3, 120, "1 hour", 30),
+    )
+    want = {i: (a, left) for i, (a, left, _) in brute_limit(rows, 3, timedelta(seconds=120)).items()}
+    assert {r.seq: (r.allowed, r.remaining) for r in out.collect()} == want
+
+
+def test_stream_views_out_of_order(spark, tmp_path):
+    rows = [(k, t, i, None if i % 7 == 0 else f"/{i % 3 and 1}") for k, t, i in hits(150)]
+    schema = "key string, ts timestamp, id long, path string"
+    out = event_time_replay(
+        spark, tmp_path, out_of_order(rows, 1800), schema,
+        lambda s: jobs.page_view_dedupe(s, "key", "ts", "id", F.col("path"), delay="1 hour", order_seconds=60),
+    )
+    want = {r.id for r in ev.page_view_dedupe(spark.createDataFrame(rows, schema), "key", "ts", "id", F.col("path")).collect()}
+    found = out.collect()
+    assert len(found) == 150 and {r.seq for r in found if r.send} == want
+
+
+def test_slot_no_longer_than_the_key_is_kept():
+    from cartloom.streaming.state import SeenDeliveries
+
+    with pytest.raises(ValueError):
+        SeenDeliveries(1_000_000, 2_000_000)
