@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import BinaryIO
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,24 +65,49 @@ def write_archive_csv(
     )
 
 
+CHUNK_BYTES = 4 << 20
+
+
+def open_stream(path: str) -> BinaryIO:
+    """A file as a forward stream, on any file system Arrow opens (local, hdfs, s3, gs)."""
+    if path.startswith(("file:", "/")):
+        return pafs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
+    system, place = pafs.FileSystem.from_uri(path)
+    return system.open_input_stream(place)
+
+
+def _digester(opener: Callable[[str], BinaryIO], chunk: int):
+    """Task body: the bytes and SHA-256 of each file, a chunk in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                digest, read = hashlib.sha256(), 0
+                with opener(path) as stream:
+                    while part := stream.read(chunk):
+                        digest.update(part)
+                        read += len(part)
+                yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [read], "sha256": [digest.hexdigest()]})
+
+    return run
+
+
 def file_manifest(
-    spark: SparkSession, folder: str, counts: DataFrame | None = None, pattern: str = "part-*"
+    spark: SparkSession, folder: str, counts: DataFrame | None = None, pattern: str = "part-*",
+    opener: Callable[[str], BinaryIO] = open_stream, chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """``path, bytes, sha256, rows`` of every file below ``folder``.
+    """``file, bytes, sha256, rows`` of every file below ``folder``.
 
-    Each file is hashed in the task that reads it. ``counts`` is ``(path, rows)`` with the table
-    folder as path; a table of several files repeats its total.
+    Spark lists the files and deals them to tasks by size; a task reads one file at a time in chunks, so files of any size
+    do. Spark's scans leave empty files out, so these come from the list itself. ``opener`` serves file systems that Arrow doesn't know. ``counts`` is ``(path, rows)`` with the table folder as path;
+    a table of several files repeats its total.
     """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select("path")
+    names = spark.createDataFrame([(unquote(uri).replace("file:///", "file:/", 1),) for uri in listed.inputFiles()], "path string")
     files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select(
-            F.regexp_extract("path", rf"{folder.rstrip('/')}/(.*)$", 1).alias("file"),
-            F.col("length").alias("bytes"),
-            F.sha2("content", 256).alias("sha256"),
-        )
+        listed.unionByName(names.join(listed, "path", "left_anti"))
+        .mapInArrow(_digester(opener, chunk), "path string, bytes bigint, sha256 string")
+        .select(F.regexp_extract("path", rf"\Q{folder.rstrip('/')}\E/(.*)$", 1).alias("file"), "bytes", "sha256")
         .withColumn("path", F.regexp_extract("file", r"^(.*)/[^/]*$", 1))
     )
     if counts is None:

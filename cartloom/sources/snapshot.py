@@ -9,8 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartloom.sources.json_array import read_json_array
 from cartloom.sources.schemas import DDL
 
+SPLIT_BYTES = 128 << 20
+
 
 class SnapshotMissing(RuntimeError):
     """Required entity files are absent."""
@@ -37,8 +40,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def entity_path(spark: SparkSession, folder: str, entity: str) -> tuple[str, bool] | None:
     """Where an entity lies and whether it is one JSON array.
 
-    ``<entity>.json`` is an array and read by one task per file; large exports come as a folder
-    ``<entity>/`` of JSON-lines parts, which Spark splits.
+    ``<entity>.json`` is an array; ``<entity>/`` is a folder of JSON-lines parts.
     """
     for path, array in ((f"{folder}/{entity}", False), (f"{folder}/{entity}.json", True)):
         if path_exists(spark, path):
@@ -46,12 +48,24 @@ def entity_path(spark: SparkSession, folder: str, entity: str) -> tuple[str, boo
     return None
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).getLen()
+
+
+def read_entity(spark: SparkSession, entity: str, path: str, array: bool, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Rows of one entity. An array of more than one split is read by many tasks, with the same rows."""
+    if array and file_bytes(spark, path) > split_bytes:
+        return read_json_array(spark, path, DDL[entity])
+    return spark.read.schema(DDL[entity]).json(path, multiLine=array)
+
+
 def empty(spark: SparkSession, entity: str) -> DataFrame:
     return spark.createDataFrame([], DDL[entity])
 
 
 def load_snapshot(
-    spark: SparkSession, folder: str, required: Iterable[str], optional: Iterable[str] = ()
+    spark: SparkSession, folder: str, required: Iterable[str], optional: Iterable[str] = (), split_bytes: int = SPLIT_BYTES
 ) -> Snapshot:
     """Read a snapshot folder. All missing required entities are named in one error; a missing
     optional one is an empty table."""
@@ -65,7 +79,7 @@ def load_snapshot(
     tables = {
         e: empty(spark, e)
         if place is None
-        else spark.read.schema(DDL[e]).json(place[0], multiLine=place[1])
+        else read_entity(spark, e, *place, split_bytes)
         for e, place in places.items()
     }
     return Snapshot(tables, *_manifest(spark, f"{folder}/_manifest.json"))
