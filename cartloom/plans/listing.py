@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,9 @@ from cartloom.functions.money import cents
 from cartloom.functions.options import normalize_colour
 from cartloom.functions.seo import product_json_ld
 from cartloom.operators import audit, listing
+from cartloom.operators.search_index import search_index, write_index
 from cartloom.plans.registry import query, table
+from cartloom.session import checkpoint_dir
 
 WORD = r"^(\S+)"
 
@@ -159,6 +164,27 @@ def search(spark: SparkSession, folder: str) -> DataFrame:
     return listing.search_catalog(view(spark, folder), "  Red unisex ").select("handle", "title")
 
 
+SEARCHES = ["  Red unisex ", "promo men ea", "beach", "unisex nosuchword", " "]
+
+
+@query(
+    "search_indexed",
+    VIEW_SQL
+    + """,
+    h AS (SELECT handle, lower(title || ' ' || category_id || ' ' || coalesce(surface, '') || '  ' || colours || ' ' || gender) AS hay FROM view)
+    SELECT '  Red unisex ' AS query, handle FROM h WHERE hay LIKE '%red%' AND hay LIKE '%unisex%'
+    UNION ALL SELECT 'promo men ea', handle FROM h WHERE hay LIKE '%promo%' AND hay LIKE '%men%' AND hay LIKE '%ea%'
+    UNION ALL SELECT 'beach', handle FROM h WHERE hay LIKE '%beach%'
+    """,
+)
+def search_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Several searches over one index of all products, built once."""
+    at = f"{checkpoint_dir(spark).rstrip('/')}/search-{uuid.uuid4().hex}"
+    write_index(view(spark, folder), "handle", listing.haystack(), at)
+    found = [search_index(spark, at, q).select(F.lit(q).alias("query"), F.col("id").alias("handle")) for q in SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "related",
     """
