@@ -92,10 +92,14 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def look_up(spark: SparkSession, folder: str, manifest: Manifest, keys: DataFrame) -> DataFrame:
-    """Ledger rows of ``keys`` (``resource, key``): only the buckets the keys fall into are read."""
+    """Ledger rows of ``keys`` (``resource, key``): only the buckets the keys fall into are read.
+
+    An inner join on distinct keys: a semi join would be pushed below the union of the datasets, and Spark 4.1 takes a union
+    of shuffled inputs for dealt by their key, though adaptive reads may leave each with another number of partitions.
+    """
     touched = [r.bucket for r in keys.select(bucket_of(manifest).alias("bucket")).distinct().collect()]  # at most manifest.buckets
     rows = rows_of(spark, folder, manifest.live).where(F.col("bucket").isin(touched))
-    return newest(rows.join(keys.select("resource", "key"), ["resource", "key"], "left_semi")).drop("bucket")
+    return newest(rows.join(keys.select("resource", "key").distinct(), ["resource", "key"])).drop("bucket")
 
 
 def write_dataset(rows: DataFrame, folder: str, manifest: Manifest) -> str:

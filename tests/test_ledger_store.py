@@ -111,3 +111,26 @@ def test_stream_restart_and_lost_checkpoint(spark, tmp_path):
     assert len(store.latest(spark, folder).writers) == 2
     again = entries(store.read_store(spark, folder))
     assert {k: v[0] for k, v in again.items()} == {k: v[0] for k, v in first.items()} and len(again) == 12
+
+
+def test_look_up_joins_above_the_union(spark, tmp_path):
+    """Several datasets, joins that shuffle: a semi join pushed below the union failed by partitions that don't match."""
+    folder, whole = str(tmp_path / "store"), {}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        for epoch, (lo, hi) in enumerate([(0, 4000), (3000, 5000), (2000, 6000), (0, 6000)]):
+            new = spark.range(lo, hi, 1, 4).select(
+                F.lit("Product").alias("resource"), F.concat(F.lit("k"), "id").alias("key"), F.lit(f"p{epoch}").alias("payload"), F.lit(f"c{epoch}").alias("checksum"))
+            store.apply_batch(folder, new, "w", epoch, fanout=9, buckets=4)
+            whole |= {f"k{k}": f"p{epoch}" for k in range(lo, hi)}
+        now = store.latest(spark, folder)
+        assert len(now.live) == 4
+        plan = store.look_up(spark, folder, now, new)._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" not in plan
+        got = {r.key: r.payload for r in store.read_store(spark, folder).collect()}
+        assert got == whole and len({r.id for r in store.read_store(spark, folder).collect()}) == 6000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
