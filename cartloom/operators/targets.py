@@ -264,26 +264,25 @@ def media_reuse_match(wanted: DataFrame, live: DataFrame, ledger: DataFrame) ->
 
     ``wanted``: ``product_id, key, url``; ``live``: ``product_id, id, url``. The suffix test would be
     a theta join within a product; instead every live stem lists the (at most 33) stems it could
-    extend, and the join is an equality on product and stem.
+    extend, and the join is an equality on product and stem. Spark's size estimate knows nothing of that list, so the
+    join is told to sort and merge: a broadcast of many stems per upload would go through the driver.
     """
     claimed = ledger.where(F.col("resource") == "MediaImage").select("id").distinct()
     free = live.join(claimed, "id", "left_anti").withColumn("_stem", file_stem(F.col("url")))
     stem = F.col("_stem")
-    cuts = F.filter(F.sequence(F.lit(0), F.lit(32)), lambda n: n < F.length(stem))
-    bases = F.filter(
-        F.transform(cuts, lambda n: F.struct((F.length(stem) - n).alias("kept"), F.substring(stem, F.lit(1), F.length(stem) - n).alias("base"))),
-        lambda b: F.substring(stem, b["kept"] + 1, F.lit(32)).rlike("^[0-9a-f]*$"),
-    )
+    # what may be cut off: up to 32 hexadecimal digits at the end, never the whole stem
+    digits = F.length(F.regexp_extract(stem, "([0-9a-f]{0,32})$", 1))
+    cuts = F.sequence(F.lit(0), F.greatest(F.least(digits, F.length(stem) - 1), F.lit(0)))
+    bases = F.transform(cuts, lambda n: F.substring(stem, F.lit(1), F.length(stem) - n))
     candidates = (
         free.where(stem != "")
-        .select("product_id", "id", F.explode(bases).alias("b"))
-        .select("product_id", F.col("b.base").alias("_stem"), "id")
+        .select("product_id", "id", F.explode(bases).alias("_stem"))
         .groupBy("product_id", "_stem")
         .agg(F.min("id").alias("live_id"))
     )
     return (
         wanted.withColumn("_stem", file_stem(F.col("url")))
-        .join(candidates, ["product_id", "_stem"], "left")
+        .join(candidates.hint("merge"), ["product_id", "_stem"], "left")
         .select("product_id", "key", "live_id")
     )
 

@@ -163,3 +163,13 @@ def test_media_suffix_match_against_brute_force(spark):
         spark.createDataFrame(wanted, "product_id long, key string, url string"), spark.createDataFrame(live, "product_id long, id long, url string"), none
     )
     assert {r.key: r.live_id for r in got.collect()} == expected
+
+
+def test_media_suffix_match_sends_no_stems_to_the_driver(spark):
+    wanted = spark.range(50).select(F.col("id").alias("product_id"), F.col("id").cast("string").alias("key"), F.lit("https://a/shirtz.jpg").alias("url"))
+    live = spark.range(50).select(F.col("id").alias("product_id"), "id", F.lit("https://c/shirtz_0123abcd.jpg").alias("url"))
+    claimed = spark.createDataFrame([("MediaImage", 7)], "resource string, id long")
+    got = targets.media_reuse_match(wanted, live, claimed)
+    # below the join with the candidates, the claimed ids may be broadcast
+    assert got._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin [product_id") == 1
+    assert {r.product_id: r.live_id for r in got.collect()} == {n: None if n == 7 else n for n in range(50)}
