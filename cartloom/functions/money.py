@@ -10,7 +10,7 @@ MONEY = "decimal(18,2)"
 
 def parse_decimal(c: Column) -> Column:
     """Text to a wide decimal: blanks and thousands commas dropped, anything else null."""
-    return F.regexp_replace(F.trim(c.cast("string")), ",", "").try_cast("decimal(38,10)")
+    return F.translate(F.trim(c.cast("string")), ",", "").try_cast("decimal(38,10)")
 
 
 def money(c: Column, half_even: bool = True) -> Column:

@@ -6,6 +6,8 @@ import html
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -13,9 +15,16 @@ from pyspark.sql.types import ArrayType, StringType
 _EDGES = r"(?U)^\s+|\s+$"
 
 
-@F.pandas_udf(StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+def _plain(texts: pa.Array) -> bool:
+    """No text of the batch holds an entity: it goes back as it came."""
+    return not pc.any(pc.match_substring(texts, "&")).as_py()
+
+
+@F.arrow_udf(StringType())
+def _unescape(values: pa.Array) -> pa.Array:
+    if _plain(values):
+        return values
+    return pa.array([v if v is None else html.unescape(v) for v in values.to_pylist()], pa.string())
 
 
 def _decompose(value: str) -> str:
@@ -27,9 +36,12 @@ def _ascii(values: pd.Series) -> pd.Series:
     return values.map(_decompose, na_action="ignore")
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _unescape_all(values: pd.Series) -> pd.Series:
-    return values.map(lambda vs: [None if v is None else html.unescape(v) for v in vs], na_action="ignore")
+@F.arrow_udf(ArrayType(StringType()))
+def _unescape_all(values: pa.Array) -> pa.Array:
+    if _plain(values.flatten()):
+        return values
+    clean = [vs if vs is None else [v if v is None else html.unescape(v) for v in vs] for vs in values.to_pylist()]
+    return pa.array(clean, pa.list_(pa.string()))
 
 
 def clean_texts(c: Column) -> Column:

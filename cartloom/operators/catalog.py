@@ -161,18 +161,16 @@ def build_options(
     used = (
         variations.select(
             F.col("parent_id").alias("product_id"),
-            F.explode(
-                F.arrays_zip(
-                    clean_texts(F.col("attributes.name")).alias("name"),
-                    clean_texts(F.col("attributes.option")).alias("value"),
-                )
-            ).alias("a"),
+            F.explode(F.transform("attributes", lambda a: F.struct(a["name"].alias("name"), a["option"].alias("value")))).alias("a"),
         )
-        .select("product_id", _canonical(F.col("a.name"), policy).alias("_base"), F.col("a.value").alias("value"))
-        .where(F.col("value") != "")
-        # distinct values only: combined before the shuffle, bounded by the option's vocabulary
+        # each spelling of a product is cleaned once, not once per variation
+        .select("product_id", "a.name", "a.value").distinct()
+        .select("product_id", _canonical(F.coalesce(clean_text(F.col("name")), F.lit("")), policy).alias("_base"), clean_text(F.col("value")).alias("value"))
+        # of distinct spellings, so bounded by the option's vocabulary; a set would make Spark drop the distinct above, and a
+        # filter on the cleaned value would clean it twice
         .groupBy("product_id", "_base")
-        .agg(F.collect_set("value").alias("used"))
+        .agg(F.collect_list(F.nullif("value", F.lit(""))).alias("used"))
+        .withColumn("used", F.when(F.size("used") > 0, F.col("used")))
     )
     sock = F.when(F.col("option") == "Sock Size", "Size").otherwise(F.col("option"))
     joined = (
@@ -525,20 +523,28 @@ def build_variants(
         .withColumn("sku_generated", F.col("raw_sku") == "")
         .withColumn("sku", F.when(F.col("sku_generated"), generate_sku(F.col("parent_id"), F.col("id"), sku_prefix)).otherwise(F.col("raw_sku")))
         .withColumn("_combination", F.when(F.size("missing") == 0, F.to_json("option_values")))
-        .withColumn("_at", F.struct("position", F.col("id").alias("id")))
-        .drop("_names", "_values", "_given", "_picked", "options", "attributes", "image", "meta_data")
+        .select(
+            "id", "parent_id", "handle", "position", "sku", "sku_generated", blank_to_null(F.col("_barcode")).alias("barcode"), "cost", "stock", "weight_grams",
+            F.when(F.col("backorders_allowed"), "CONTINUE").otherwise("DENY").alias("inventory_policy"),
+            (~(F.coalesce("virtual", F.lit(False)) | F.coalesce(parent["virtual"], F.lit(False)))).alias("requires_shipping"),
+            (
+                F.coalesce(blank_to_null(F.col("tax_status")), blank_to_null(parent["tax_status"]), F.lit("taxable")) == "taxable"
+            ).alias("taxable"),
+            "option_values", "missing", "_combination",
+        )
     )
-    # read by the duplicate check, the records and the exceptions: computed once
+    # read by the duplicate check, the records and the exceptions: computed once, what they need of it
     resolved = checkpointed(resolved)
     full = resolved.where(F.col("_combination").isNotNull())
     claimed = (
         full.groupBy("parent_id", "_combination")
-        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        # positions are unique in a product; a minimum of structs would be a sort aggregation
+        .agg(F.min_by("id", "position").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
         .drop("_n")
     )
     checked = resolved.join(claimed, ["parent_id", "_combination"], "left").withColumn(
-        "first_variation_id", F.when(F.col("_first.id") != F.col("id"), F.col("_first.id"))
+        "first_variation_id", F.when(F.col("_first") != F.col("id"), F.col("_first"))
     )
     no_price = F.col("cost.price").isNull()
     no_value = F.size("missing") > 0
@@ -548,18 +554,16 @@ def build_variants(
         F.col("parent_id").alias("product_id"),
         "sku",
         "sku_generated",
-        blank_to_null(F.col("_barcode")).alias("barcode"),
+        "barcode",
         F.col("cost.price").alias("price"),
         F.col("cost.compare_at").alias("compare_at_price"),
         F.lit(currency).alias("currency"),
         "weight_grams",
         F.col("stock.quantity").alias("inventory_quantity"),
         F.col("stock.managed").alias("inventory_tracked"),
-        F.when(F.col("backorders_allowed"), "CONTINUE").otherwise("DENY").alias("inventory_policy"),
-        (~(F.coalesce("virtual", F.lit(False)) | F.coalesce(parent["virtual"], F.lit(False)))).alias("requires_shipping"),
-        (
-            F.coalesce(blank_to_null(F.col("tax_status")), blank_to_null(parent["tax_status"]), F.lit("taxable")) == "taxable"
-        ).alias("taxable"),
+        "inventory_policy",
+        "requires_shipping",
+        "taxable",
         "option_values",
         "position",
         (no_price | no_value | repeated).alias("held"),

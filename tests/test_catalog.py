@@ -170,3 +170,23 @@ def test_handles_follow_any_number_of_suffix_steps(spark):
     df = spark.createDataFrame([(i + 1, s) for i, s in enumerate(slugs)], "id long, slug string")
     handles = {r.id: r.handle for r in catalog.unique_handles(df, "slug", "id").collect()}
     assert handles == {1: "x", 2: "x-2", 3: "x-2-3", 4: "x-2-3-4", 5: "x-2-3-4-5", 6: "x-2-3-4-5-6"}
+
+
+def test_spellings_are_cleaned_once_a_product(spark):
+    """Options see distinct spellings, entities and blanks included; duplicates are found without a sort aggregation."""
+    from cartloom.functions.text import clean_text, clean_texts
+    from cartloom.plans import bindings as b
+
+    folder = "/root/testdata/sf0.001"
+    options, _ = catalog.build_options(b.products(spark, folder), b.variations(spark, folder))
+    plan = options._jdf.queryExecution().optimizedPlan().toString()
+    # on the side of the variations, spellings are made distinct below the Python step
+    side = plan[plan.index(" AS used#") :]
+    side = side[side.index("\n") :]
+    assert side.index("ArrowEvalPython") < side.index("Generate")
+    assert "Aggregate [" in side[side.index("ArrowEvalPython") : side.index("Generate")]
+    records, _ = catalog.build_variants(b.products(spark, folder), catalog.classified_products(b.products(spark, folder)), b.variations(spark, folder), options, "t")
+    assert "SortAggregate" not in records._jdf.queryExecution().executedPlan().toString()
+    rows = spark.createDataFrame([(["a", None, " b "], "x"), (["A &amp; B", None, "&lt;"], " &eacute; "), (None, None), ([], "&")], "vs array<string>, v string")
+    got = [tuple(r) for r in rows.coalesce(1).select(clean_texts(F.col("vs")), clean_text(F.col("v"))).collect()]
+    assert got == [(["a", "", "b"], "x"), (["A & B", "", "<"], "é"), ([], ""), ([], "&")]
