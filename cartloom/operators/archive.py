@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ PAID_STATUSES = ["completed", "processing", "refunded", "return-approved", "on-h
 ENDED_STATUSES = ["cancelled", "failed"]
 UNFULFILLABLE = ["cancelled", "failed", "pending"]
 
+#: Most copies of a row that are written out from one array.
+_BLOCK = 65_536
+
 
 def _text(c: Column) -> Column:
     # order text holds entities rarely and newlines often; entities are decoded at extract time
@@ -424,8 +429,19 @@ def archive_customers(customers: DataFrame, orders: DataFrame, tz: str = "+00:00
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Child rows whose key is in no parent row."""
     keys = [key] if isinstance(key, str) else list(key)
-    # distinct first: a hot key is then one row on the build side
-    return child.join(parent.select(*keys).distinct(), keys, "left_anti")
+    if set(child.columns) != set(keys):
+        # distinct first: a hot key is then one row on the build side
+        return child.join(parent.select(*keys).distinct(), keys, "left_anti")
+    # rows that are nothing but their key are counted, both sides in one hash aggregation, so neither side is sorted;
+    # the few lost ones are written out again, in blocks
+    sides = child.select(*keys, F.lit(1).alias("_row")).unionByName(parent.select(*keys, F.lit(0).alias("_row")))
+    counted = sides.groupBy(*keys).agg(F.sum("_row").alias("_rows"), F.min("_row").alias("_known"))
+    # a null key is equal to none
+    null_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    lost = counted.where((F.col("_rows") > 0) & ((F.col("_known") > 0) | null_key))
+    blocks = lost.withColumn("_block", F.explode(F.expr(f"sequence(0, (_rows - 1) div {_BLOCK})")))
+    here = F.least(F.lit(_BLOCK), F.col("_rows") - F.col("_block") * _BLOCK).cast("int")
+    return blocks.withColumn("_one", F.explode(F.array_repeat(F.lit(True), here))).select(*child.columns)
 
 
 def archive_tables(

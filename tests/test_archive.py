@@ -111,3 +111,17 @@ def test_records_round_trip(spark, tables, tmp_path):
 def test_order_summary(source):
     row = archive.order_summary(source["orders"], "id", "date_created_gmt", "currency", F.regexp_replace("total", ",", "").cast("decimal(18,2)")).first()
     assert (row.orders, row.min_order_id, row.max_order_id, row.currencies, row.order_total) == (3, 70, 72, "AUD,NZD", Decimal("1040.50"))
+
+
+def test_orphan_keys_as_rows(spark, monkeypatch):
+    """Repeated and null keys, against an anti join of the rows; neither side is sorted."""
+    monkeypatch.setattr(archive, "_BLOCK", 2)
+    child = spark.createDataFrame([(1,), (1,), (2,), (2,), (2,), (None,), (None,), (3,)], "k int")
+    parent = spark.createDataFrame([(1,), (3,), (3,), (None,), (9,)], "k int")
+    lost = archive.orphan_rows(child, parent, "k")
+    assert sorted((r.k is None, r.k) for r in lost.collect() if r.k) == [(False, 2)] * 3
+    assert lost.count() == 5 and lost.exceptAll(child.join(parent, "k", "left_anti")).count() == 0
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    wide = child.withColumn("v", F.lit(7))
+    assert wide.columns == archive.orphan_rows(wide, parent, "k").columns and archive.orphan_rows(wide, parent, "k").count() == 5
