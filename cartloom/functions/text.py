@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 import pyarrow as pa
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 _EDGES = r"(?U)^\s+|\s+$"
+#: Found in every text that white space at its edges or a line break could change; most texts have neither.
+_RAGGED = r"\A[^\x21-\x7E]|[^\x21-\x7E]\z|[\r\n]"
 
 
 def _plain(texts: pa.Array) -> bool:
@@ -76,7 +79,17 @@ def blank_to_null(c: Column) -> Column:
 
 def one_line_text(c: Column, entities: bool = True) -> Column:
     """:func:`clean_text` on one line."""
-    return strip(F.regexp_replace(clean_text(c, entities), r"\s*[\r\n]+\s*", " "))
+    filled = F.coalesce(c, F.lit(""))
+    return _on_one_line(clean_text(filled)) if entities else _where_ragged(filled, lambda t: _on_one_line(strip(t)))
+
+
+def _on_one_line(c: Column) -> Column:
+    return strip(F.regexp_replace(c, r"\s*[\r\n]+\s*", " "))
+
+
+def _where_ragged(c: Column, change: Callable[[Column], Column]) -> Column:
+    """One search instead of the replacements where a text has nothing to replace."""
+    return F.when(c.rlike(_RAGGED), change(c)).otherwise(c)
 
 
 def slugify(c: Column, empty: str = "untitled", fold_accents: bool = True) -> Column:
@@ -138,8 +151,7 @@ def meta_pairs(meta: Column) -> Column:
         return (label(e) != "") & ~label(e).startswith("_") & ~nested
 
     def flat(c: Column) -> Column:
-        text = F.coalesce(c, F.lit(""))
-        return strip(F.regexp_replace(text, r"\s*[\r\n]+\s*", " "))
+        return _where_ragged(F.coalesce(c, F.lit("")), _on_one_line)
 
     kept = F.filter(F.coalesce(meta, F.array().cast(_META)), visible)
     return F.transform(kept, lambda e: F.concat(flat(label(e)), F.lit(": "), flat(shown(e))))

@@ -73,6 +73,11 @@ def refund_orders(refunds: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def lines_as_ids(rows: DataFrame) -> DataFrame:
+    """Rows whose ``line_items`` hold ids alone: enough to count them, and joins don't carry the records."""
+    return rows.withColumn("line_items", F.transform("line_items", lambda i: F.struct(i["id"].alias("id"))))
+
+
 def refund_totals_by_order(
     refunds: DataFrame, key: str = "order_id", amount: Column | None = None
 ) -> DataFrame:
@@ -454,7 +459,7 @@ def archive_tables(
         "orders": archive_orders(costed, tz),
         "order-lines": order_lines(orders),
         "payments": archive_payments(costed, gateways, tz),
-        "refunds": archive_refunds(linked, orders, tz),
+        "refunds": archive_refunds(refund_orders(lines_as_ids(refunds), orders), orders, tz),
         "refund-lines": archive_refund_lines(linked, orders),
         "fulfilments": archive_fulfilments(orders, tz),
         "fulfilment-lines": archive_fulfilment_lines(orders),
@@ -473,6 +478,27 @@ def measures(df: DataFrame, scope: Column, values: Mapping[str, Column]) -> Data
     return wide.selectExpr("scope", f"stack({len(names)}, {pairs}) AS (metric, value)")
 
 
+def measures_by(df: DataFrame, groups: Mapping[str, tuple[Column, Mapping[str, Column]]]) -> DataFrame:
+    """:func:`measures` of several scopes in one reading of ``df``; a null scope is left out.
+
+    Sums are first taken per combination of the scopes, which the tasks do before anything is shuffled; each scope then adds up the
+    combinations' few rows.
+    """
+    scopes = {g: f"_scope_{i}" for i, g in enumerate(groups)}
+    cells = {(g, n): f"_value_{i}_{j}" for i, g in enumerate(groups) for j, n in enumerate(groups[g][1])}
+    given = df.select(*[groups[g][0].alias(c) for g, c in scopes.items()], *[groups[g][1][n].alias(c) for (g, n), c in cells.items()])
+    summed = given.groupBy(*scopes.values()).agg(*[F.sum(c).alias(c) for c in cells.values()])
+    tall = F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(scopes[g]).alias("scope"), F.col(c).cast("decimal(38,10)").alias("value"))
+        for (g, n), c in cells.items()
+    ])
+    return (
+        summed.select(F.explode(tall).alias("_cell")).select("_cell.*").where(F.col("scope").isNotNull())
+        .groupBy("scope", "metric").agg(F.coalesce(F.sum("value"), F.lit(0)).cast("decimal(38,4)").alias("value"))
+        .select("scope", "metric", "value")
+    )
+
+
 def reconcile_pairs(df: DataFrame, scope: Column, pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Checks whose two sides lie in one joined table: a single aggregation gives both."""
     sums = [
@@ -527,15 +553,17 @@ def reconcile_archive(
     refund_value = F.abs(money_or_zero(F.col("amount")))
     refunds_in = _with_order(linked, orders).where(F.col("_order").isNotNull())
     source = union_all([
-        measures(orders, every, {
-            "order_count": one, "payment_count": one, "fulfilment_count": one,
-            "line_item_count": F.coalesce(F.size("line_items"), F.lit(0)),
-            "shipping_line_count": F.coalesce(F.size("shipping_lines"), F.lit(0)),
-            "fee_line_count": F.coalesce(F.size("fee_lines"), F.lit(0)),
-            "fulfilment_line_count": F.coalesce(F.size("line_items"), F.lit(0)),
+        measures_by(orders, {
+            "all": (every, {
+                "order_count": one, "payment_count": one, "fulfilment_count": one,
+                "line_item_count": F.coalesce(F.size("line_items"), F.lit(0)),
+                "shipping_line_count": F.coalesce(F.size("shipping_lines"), F.lit(0)),
+                "fee_line_count": F.coalesce(F.size("fee_lines"), F.lit(0)),
+                "fulfilment_line_count": F.coalesce(F.size("line_items"), F.lit(0)),
+            }),
+            "status": (status, {"order_count": one}),
+            "currency": (currency, {**amount, "gross_line_subtotal": total_of(F.col("line_items"), "subtotal")}),
         }),
-        measures(orders, status, {"order_count": one}),
-        measures(orders, currency, {**amount, "gross_line_subtotal": total_of(F.col("line_items"), "subtotal")}),
         measures(refunds, every, {
             "refund_count": one, "refund_line_count": F.coalesce(F.size("line_items"), F.lit(0)),
         }),
@@ -548,19 +576,23 @@ def reconcile_archive(
         ),
     ])
     head, lines = tables["orders"], tables["order-lines"]
-    goods = lines.where(F.col("line_type") == "line_item")
+    is_goods = F.col("line_type") == "line_item"
     archive = union_all([
-        measures(head, every, {"order_count": one}),
-        measures(head, status, {"order_count": one}),
-        measures(head, currency, {
-            "discount_total": F.col("discount_total"), "shipping_total": F.col("shipping_total"),
-            "tax_total": F.col("total_tax"), "order_total": F.col("order_total"),
-            "net_total": F.col("net_total"), "refund_total": F.col("refunded_total"),
+        measures_by(head, {
+            "all": (every, {"order_count": one}),
+            "status": (status, {"order_count": one}),
+            "currency": (currency, {
+                "discount_total": F.col("discount_total"), "shipping_total": F.col("shipping_total"),
+                "tax_total": F.col("total_tax"), "order_total": F.col("order_total"),
+                "net_total": F.col("net_total"), "refund_total": F.col("refunded_total"),
+            }),
         }),
-        measures(goods, currency, {"gross_line_subtotal": F.col("line_subtotal")}),
-        measures(lines, every, {
-            f"{kind}_count": (F.col("line_type") == kind.replace("_line", "") if kind != "line_item" else F.col("line_type") == kind).cast("int")
-            for kind in ("line_item", "shipping_line", "fee_line")
+        measures_by(lines, {
+            "currency": (F.when(is_goods, currency), {"gross_line_subtotal": F.col("line_subtotal")}),
+            "all": (every, {
+                f"{kind}_count": (F.col("line_type") == kind.replace("_line", "") if kind != "line_item" else is_goods).cast("int")
+                for kind in ("line_item", "shipping_line", "fee_line")
+            }),
         }),
         *[
             measures(tables[t], every, {m: one})
@@ -572,7 +604,10 @@ def reconcile_archive(
         ],
     ])
     orphans = union_all([
-        orphan_rows(tables[t], head, "order_number").agg(F.count(one).cast("decimal(38,4)").alias("archive_value")).select(
+        # rows are counted by order first, so an order is one row at the join
+        orphan_rows(tables[t].groupBy("order_number").agg(F.count(one).alias("n")), head, "order_number").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("decimal(38,4)").alias("archive_value")
+        ).select(
             F.lit("orphan_rows").alias("metric"), F.lit(t).alias("scope"),
             F.lit(0).cast("decimal(38,4)").alias("source_value"), "archive_value",
             (-F.col("archive_value")).cast("decimal(38,4)").alias("difference"),

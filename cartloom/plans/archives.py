@@ -62,7 +62,9 @@ def _lines(rows: DataFrame, sign: int = 1) -> DataFrame:
             entry("state", F.lit("x"), None, F.concat("l_linestatus", F.lit(" \n 1"))), entry("parts", F.lit(' [{"a":1}]')),
         ).alias("meta_data"),
     )
-    return rows.groupBy(F.col("l_orderkey").alias("_key")).agg(F.collect_list(item).alias("line_items"), F.sum(price).alias("_amount"))
+    # a record is a column before it is gathered: expressions inside collect_list are not compiled
+    made = rows.select(F.col("l_orderkey").alias("_key"), item.alias("_item"), price.alias("_price"), (F.col("l_returnflag") == "R").cast("int").alias("_returned"))
+    return made.groupBy("_key").agg(F.collect_list("_item").alias("line_items"), F.sum("_price").alias("_amount"), F.max("_returned").alias("_back"))
 
 
 def _address(first, city):
@@ -73,9 +75,7 @@ def _address(first, city):
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their lines, shipping, fees, coupons and the ids of half of the refunds."""
-    returned = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.max((F.col("l_returnflag") == "R").cast("int")).alias("_back"))
     heads = table(spark, folder, "orders").join(_lines(table(spark, folder, "lineitem")), F.col("o_orderkey") == F.col("_key"), "left")
-    heads = heads.join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key, shopper = F.col("o_orderkey"), F.col("o_custkey")
     day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
@@ -233,7 +233,7 @@ def archive_payments(spark: SparkSession, folder: str) -> DataFrame:
 def archive_refunds(spark: SparkSession, folder: str) -> DataFrame:
     """Refunds with their order, found by the nested id or else by the link; ``orphan`` where neither leads to an order."""
     heads = orders(spark, folder)
-    linked = archive.refund_orders(refunds(spark, folder), heads)
+    linked = archive.refund_orders(archive.lines_as_ids(refunds(spark, folder)), heads)
     lost = archive.orphan_refunds(linked, heads).select("refund_id", F.lit(True).alias("orphan"))
     return archive.archive_refunds(linked, heads).join(lost, "refund_id", "left").withColumn("orphan", F.coalesce("orphan", F.lit(False)))
 

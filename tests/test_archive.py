@@ -125,3 +125,30 @@ def test_orphan_keys_as_rows(spark, monkeypatch):
     assert "Join" not in plan
     wide = child.withColumn("v", F.lit(7))
     assert wide.columns == archive.orphan_rows(wide, parent, "k").columns and archive.orphan_rows(wide, parent, "k").count() == 5
+
+
+def test_measures_by_reads_once(spark):
+    """Several scopes of one reading equal one aggregation each; a null scope is left out."""
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 4), (None, "x", 8)], "s string, t string, v int")
+    one, s, t, v = F.lit(1), F.col("s"), F.col("t"), F.col("v")
+    got = archive.measures_by(df, {"t": (t, {"n": one, "v": v}), "s": (s, {"v": v})})
+    parts = archive.measures(df, t, {"n": one, "v": v}).unionByName(archive.measures(df.where("s is not null"), s, {"v": v}))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, parts.collect()))
+
+
+def test_lines_as_ids_keeps_counts(source):
+    slim = archive.lines_as_ids(source["refunds"])
+    assert [f.name for f in slim.schema["line_items"].dataType.elementType.fields] == ["id"]
+    linked = [archive.refund_orders(r, source["orders"]) for r in (slim, source["refunds"])]
+    found = [sorted(map(tuple, archive.archive_refunds(r, source["orders"]).collect()), key=str) for r in linked]
+    assert found[0] == found[1]
+
+
+def test_one_line_text_of_ragged_texts(spark):
+    from cartloom.functions.text import _on_one_line, one_line_text, strip
+
+    texts = [None, "", " ", "plain", "two words", " edge", "edge ", "a\r\n b", " x ", "é", "x\u0085", "x\t", " y", "a\tb", "x\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = _on_one_line(strip(F.coalesce("t", F.lit(""))))
+    assert all(r[0] == r[1] for r in df.select(one_line_text(F.col("t"), entities=False), plain).collect())
+    assert df.where(F.col("t") == "plain").select(one_line_text(F.col("t"), entities=False)).first()[0] == "plain"
