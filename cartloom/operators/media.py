@@ -108,9 +108,11 @@ def resolve_references(refs: DataFrame, media: DataFrame) -> DataFrame:
     its thumbnail was made from, else the URL as written.
 
     Distinct URLs are resolved, not references, so a logo used on a third of all pages costs one
-    lookup; the result is joined back by URL.
+    lookup; the result is joined back by URL. Media keys are made of much longer text than the columns
+    Spark's size estimate knows, so the lookups are told to sort and merge: a broadcast of them would
+    stand whole in the driver and in every executor.
     """
-    known = known_media(media).select("canon", "source_url")
+    known = known_media(media).select("canon", "source_url").hint("merge")
     exact = known.withColumnsRenamed({"canon": "_canon", "source_url": "_exact"})
     thumbnail = known.withColumnsRenamed({"canon": "_original", "source_url": "_from"})
     urls = (
@@ -243,9 +245,10 @@ def _rewrite(bodies: pd.Series, moves: pd.Series) -> pd.Series:
 def rewrite_bodies(docs: DataFrame, resolved: DataFrame, urls: DataFrame, key: list[str]) -> DataFrame:
     """Bodies with every mapped reference moved, plus ``references``, ``rewritten``, ``left``.
 
-    The map handed to a document holds that document's own references only.
+    The map handed to a document holds that document's own references only. New addresses are merged
+    in, never broadcast (see :func:`resolve_references`).
     """
-    moved = resolved.join(urls, "source_url", "left")
+    moved = resolved.join(urls.hint("merge"), "source_url", "left")
     per_doc = moved.groupBy(*key).agg(
         F.map_from_entries(F.collect_set(F.when(F.col("new_url").isNotNull(), F.struct("raw", "new_url")))).alias("_moves"),
         F.count(F.lit(1)).alias("references"),

@@ -311,6 +311,7 @@ def rewritten_bodies(spark: SparkSession, folder: str) -> DataFrame:
     )
     moved = media.rewrite_bodies(docs, resolved, media.target_urls(files, "https://cdn.example.net/files"), ["handle"])
     left = media.residual_references(moved, hosts, "shop.example.com", ["handle"])
-    return moved.join(left, "handle", "left").select(
-        "handle", "references", "rewritten", "left", F.coalesce("residual", F.lit(0)).alias("residual"), F.md5("body_html").alias("body")
+    digests = moved.select("handle", "references", "rewritten", "left", F.md5("body_html").alias("body"))  # before the join: bodies stay out of it
+    return digests.join(left, "handle", "left").select(
+        "handle", "references", "rewritten", "left", F.coalesce("residual", F.lit(0)).alias("residual"), "body"
     )

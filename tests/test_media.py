@@ -63,3 +63,14 @@ def test_content_views(spark):
     assert set(rows) == {"about", "faq", "faq-2"}
     assert (rows["about"].html, rows["about"].description, rows["faq"].description, rows["faq-2"].description, rows["faq"].seo_title) == ("<p>Hi</p>", "Hi", "d", None, "T")
     assert [r.handle for r in listing.article_list(pages).collect()] == ["faq", "about", "shop"]
+
+
+def test_media_lookups_are_merged(spark):
+    """Media, as many as the shop has files, are never broadcast, however small their estimate."""
+    import re
+
+    import __spark_entry__
+
+    found = __spark_entry__.queries()["rewritten_bodies"](spark, "/root/testdata/sf0.001")
+    joins = re.findall(r"(\w+Join) \[(_canon|_original|source_url)#", found._jdf.queryExecution().sparkPlan().toString())
+    assert {kind for kind, _ in joins} == {"SortMergeJoin"} and {key for _, key in joins} == {"_canon", "_original", "source_url"}
