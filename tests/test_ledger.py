@@ -173,3 +173,40 @@ def test_media_suffix_match_sends_no_stems_to_the_driver(spark):
     # below the join with the candidates, the claimed ids may be broadcast
     assert got._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin [product_id") == 1
     assert {r.product_id: r.live_id for r in got.collect()} == {n: None if n == 7 else n for n in range(50)}
+
+
+def test_stale_plan_reads_the_ledger_once(spark, tmp_path):
+    """Against a plain reading, with missing handles and ids and with a scope."""
+    from itertools import product
+
+
+    book = [("Product", "p", 1, "p")]
+    for resource, base in (("ProductVariant", 100), ("InventoryItem", 200)):
+        for n in range(60):
+            book.append((resource, f"k{n}", None if n == 59 else base + n // 3, None if n % 7 == 0 else f"h{n % 5}"))
+    rows = [(r, k, i, "c", "{}" if h is None else f'{{"product_handle":"{h}"}}') for r, k, i, h in book]
+    spark.createDataFrame(rows, "resource string, key string, id long, checksum string, payload string").write.parquet(f"{tmp_path}/ledger")
+    ledger = spark.read.parquet(f"{tmp_path}/ledger")
+    loaded = {f"k{n}" for n in range(60) if n % 4 == 0 or n > 50} - {"k59"}
+    live = {100 + n for n in range(20) if n % 6} | {200 + n for n in range(20) if n % 5}
+    frames = spark.createDataFrame([(k,) for k in [*loaded, *loaded]], "key string"), spark.createDataFrame([(i,) for i in live], "id long")
+
+    def plain(names):
+        out, gone = set(), {}
+        for resource, (r, k, i, h) in product(("ProductVariant", "InventoryItem"), book):
+            if r != resource or k in loaded or (r == "ProductVariant" and names is not None and h not in names):
+                continue
+            kept = min((b for a, b, j, _ in book if a == r and b in loaded and j == i), default=None)
+            verdict = "not_on_store" if i not in live else "collapsed_onto_loaded_variant" if kept else "live_but_held"
+            if r == "ProductVariant" and verdict != "live_but_held":
+                gone[k] = h
+            if r == "ProductVariant" or k in gone:
+                out.add((r, k, i, h if r == "ProductVariant" else gone[k], verdict, kept if verdict.startswith("collapsed") else None))
+        return out
+
+    for names in (None, {"h1", "h3"}):
+        scope = None if names is None else spark.createDataFrame([(h,) for h in [*names, *names]], "product_handle string")
+        plan = targets.stale_plan(ledger, *frames, scope)
+        got = [tuple(r) for r in plan.collect()]
+        assert len(got) == len(set(got)) and set(got) == plain(names) and {g[4] for g in got} == {"not_on_store", "collapsed_onto_loaded_variant", "live_but_held"}
+        assert plan._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
