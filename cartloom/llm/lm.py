@@ -19,6 +19,8 @@ CLASS_BITS, WORD_BITS = 14, 15
 #: A word is listed (and sent to every task) if it makes up at least one in so many training tokens; so many words at most.
 LISTED = 400_000
 FEATURES = 3
+#: Runs of at most so many rows are added one place at a time.
+SHORT = 4
 END = np.uint64(SHAPES)  # the end token's hash; its low bits aren't read
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,6 +133,21 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def softmax(x: np.ndarray) -> np.ndarray:
+    """In the place of ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def chosen(x: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The log softmax of one column a row. Writes over ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), which]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def class_rows(f: np.ndarray, table_rows: int = 1 << CLASS_BITS) -> np.ndarray:
     return (f >> np.uint64(65 - table_rows.bit_length())).astype(np.int64)
 
@@ -146,6 +163,19 @@ def summed(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.nd
     return out
 
 
+def run_sums(values: np.ndarray, order: np.ndarray, heads: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of ``values[order]`` over each run of rows. Most runs are short: those are added one place at a time."""
+    out = values[order[heads]]
+    for k in range(1, SHORT):
+        more = np.flatnonzero((counts > k) & (counts <= SHORT))
+        out[more] += values[order[heads[more] + k]]
+    long = np.flatnonzero(counts > SHORT)
+    if len(long):
+        rows = order[np.repeat(counts > SHORT, counts)]
+        out[long] = np.add.reduceat(values[rows], np.cumsum(counts[long]) - counts[long], axis=0)
+    return out
+
+
 def descend(table: np.ndarray, seen: np.ndarray, uses: np.ndarray, rows: list[np.ndarray], miss: np.ndarray, rate: float) -> None:
     """One gradient step on the rows that a batch uses, each at its own Adagrad rate."""
     for r in rows:
@@ -154,10 +184,12 @@ def descend(table: np.ndarray, seen: np.ndarray, uses: np.ndarray, rows: list[np
             order = order[np.argsort((r[order] >> 16).astype(np.uint16), kind="stable")]
         own = r[order]
         heads = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-        step, which = np.add.reduceat(miss[order], heads, axis=0), own[heads]
+        counts = np.diff(np.append(heads, len(own)))
+        step, which = run_sums(miss, order, heads, counts), own[heads]
         seen[which] += np.einsum("ij,ij->i", step, step) / step.shape[1]
-        uses[which] += np.diff(np.append(heads, len(own)))
-        table[which] -= step * (rate / np.sqrt(seen[which]))[:, None]
+        uses[which] += counts
+        step *= (rate / np.sqrt(seen[which]))[:, None]
+        table[which] -= step
 
 
 def learn(model: Model, h: np.ndarray, of: np.ndarray, state: list[np.ndarray], rate: float, batch: int) -> None:
@@ -167,14 +199,14 @@ def learn(model: Model, h: np.ndarray, of: np.ndarray, state: list[np.ndarray],
     for at in range(0, len(h), batch):
         part = slice(at, at + batch)
         rows = [class_rows(f[part], len(model.class_weights)) for f in feats]
-        miss = np.exp(log_softmax(summed(model.class_weights, rows, model.class_bias)))
+        miss = softmax(summed(model.class_weights, rows, model.class_bias))
         miss[np.arange(len(miss)), cls[part]] -= 1
         descend(model.class_weights, state[0], state[1], rows, miss, rate)
         core = np.flatnonzero(number[part] >= 0)
         if len(core):
             c = cls[part][core]
             rows = [word_rows(f[part][core], c, len(model.word_weights)) for f in feats]
-            miss = np.exp(log_softmax(summed(model.word_weights, rows, model.word_bias[c])))
+            miss = softmax(summed(model.word_weights, rows, model.word_bias[c]))
             miss[np.arange(len(miss)), number[part][core]] -= 1
             descend(model.word_weights, state[2], state[3], rows, miss, rate)
 
@@ -186,13 +218,13 @@ def log_probabilities(model: Model, h: np.ndarray, known: np.ndarray, of: np.nda
     out = np.zeros(len(h))
     for at in range(0, len(h), 1 << 14):
         part = slice(at, at + (1 << 14))
-        scores = log_softmax(summed(model.class_weights, [class_rows(f[part], len(model.class_weights)) for f in feats], model.class_bias))
-        own = scores[np.arange(len(scores)), cls[part]].astype(float)
+        scores = summed(model.class_weights, [class_rows(f[part], len(model.class_weights)) for f in feats], model.class_bias)
+        own = chosen(scores, cls[part]).astype(float)
         core = np.flatnonzero(number[part] >= 0)
         if len(core):
             c = cls[part][core]
-            inner = log_softmax(summed(model.word_weights, [word_rows(f[part][core], c, len(model.word_weights)) for f in feats], model.word_bias[c]))
-            own[core] += inner[np.arange(len(core)), number[part][core]]
+            inner = summed(model.word_weights, [word_rows(f[part][core], c, len(model.word_weights)) for f in feats], model.word_bias[c])
+            own[core] += chosen(inner, number[part][core])
         out[part] = own
     return out
 

@@ -422,3 +422,17 @@ def test_every_label_is_learned(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert langid.sample_rows(df, F.lit(True), 500, 1200).count() == 1200
     assert len(langid.train(df, F.lit(True), most_rows=900, epochs=1, folds=2).languages) == 300
+
+
+def test_language_model_sums_runs_of_any_length():
+    """Runs shorter and longer than SHORT, one after the other, against plain sums; softmax and its chosen columns too."""
+    rng = np.random.default_rng(3)
+    counts = np.array([1, 2, 3, 4, 5, 1, 40, 4, 1, 6])
+    values, order = rng.normal(size=(counts.sum(), 7)).astype(np.float32), rng.permutation(counts.sum())
+    heads = np.cumsum(counts) - counts
+    want = [values[order[h : h + n]].sum(axis=0) for h, n in zip(heads, counts, strict=True)]
+    assert np.allclose(lm.run_sums(values, order, heads, counts), want, atol=1e-5)
+    which = rng.integers(0, 7, len(values))
+    plain = lm.log_softmax(values)
+    assert np.allclose(lm.softmax(values.copy()), np.exp(plain), atol=1e-6)
+    assert np.allclose(lm.chosen(values.copy(), which), plain[np.arange(len(values)), which], atol=1e-6)

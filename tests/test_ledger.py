@@ -179,7 +179,6 @@ def test_stale_plan_reads_the_ledger_once(spark, tmp_path):
     """Against a plain reading, with missing handles and ids and with a scope."""
     from itertools import product
 
-
     book = [("Product", "p", 1, "p")]
     for resource, base in (("ProductVariant", 100), ("InventoryItem", 200)):
         for n in range(60):
