@@ -12,7 +12,7 @@ from cartloom.operators import ledger as lg
 from cartloom.operators import ledger_store as store
 from cartloom.operators import targets
 from cartloom.plans.registry import query, table
-from cartloom.session import checkpoint_dir, checkpointed
+from cartloom.session import checkpoint_dir, checkpointed, spread
 
 
 def part_rows(spark: SparkSession, folder: str, price: Column) -> DataFrame:
@@ -199,7 +199,8 @@ def stale(spark: SparkSession, folder: str) -> DataFrame:
     loaded = pairs.where(F.col("s_acctbal") >= 0).select(key)
     slot = F.col("l_partkey") * 1000 + F.floor(F.col("l_suppkey") / 10)
     lost = pairs.where(F.col("s_nationkey") == 3).select(F.explode(F.array(slot + 10**10, slot + 2 * 10**10)).alias("id"))
-    live = book.select("id").join(lost, "id", "left_anti")
+    # an outer join stays above the union of the ledger
+    live = spread(book.select("id"), "id").join(lost.withColumn("_lost", F.lit(True)), "id", "left").where(F.col("_lost").isNull()).select("id")
     return targets.stale_plan(book, loaded, live)
 
 

@@ -53,3 +53,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder, so a lost executor costs one read."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys into the session's number of shuffle partitions.
+
+    Adaptive execution leaves a given number as it is. Else it merges partitions up to a size in compressed bytes, and
+    a task sorts as many narrow rows as fit in that. For keys without hot values: skewed partitions are left, too.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -209,3 +209,41 @@ def test_stale_plan_reads_the_ledger_once(spark, tmp_path):
         got = [tuple(r) for r in plan.collect()]
         assert len(got) == len(set(got)) and set(got) == plain(names) and {g[4] for g in got} == {"not_on_store", "collapsed_onto_loaded_variant", "live_but_held"}
         assert plan._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+
+
+def test_prune_judges_stale_rows_once(spark, tmp_path):
+    """Against a plain reading; loaded keys, live ids and rows of the plan repeat, some keys and ids are missing."""
+    schema = "resource string, key string, id long, checksum string, payload string"
+    book = [("Product", f"k{n}", n, "c", "{}") for n in range(5)]
+    for resource, base in (("ProductVariant", 100), ("InventoryItem", 200)):
+        book += [(resource, None if n == 11 else f"k{n}", None if n == 10 else base + n // 2, "c", '{"product_handle":"h"}') for n in range(12)]
+    spark.createDataFrame(book, schema).write.parquet(f"{tmp_path}/ledger")
+    rows = spark.read.parquet(f"{tmp_path}/ledger")
+    ledger = rows.where("resource = 'Product'").unionByName(rows.where("resource = 'ProductVariant'")).unionByName(rows.where("resource = 'InventoryItem'"))
+    loaded, live = ["k0", "k4", "k4", "k6", "k8", None], [100, 101, 101, 102, 104, 105, 200, 201, 202, 205, None]
+    plan = targets.stale_plan(rows, spark.createDataFrame([(k,) for k in loaded], "key string"), spark.createDataFrame([(i,) for i in live], "id long"))
+    # loaded keys and live ids go through the same passes, without joins and tables of distinct values
+    made = plan._jdf.queryExecution().sparkPlan().toString()
+    assert made.count("FileScan parquet") == 1 and "Join" not in made and "Aggregate" not in made
+
+    def plain(resource):
+        out = {}
+        for r, k, i, *_ in book:
+            if r == resource and (k is None or k not in loaded):
+                shared = any(a == r and b is not None and b in loaded and i is not None and j == i for a, b, j, *_ in book)
+                out[k] = "not_on_store" if i is None or i not in live else "collapsed_onto_loaded_variant" if shared else "live_but_held"
+        return out
+
+    variants = plain("ProductVariant")
+    dropped = {("ProductVariant", k) for k, v in variants.items() if v != "live_but_held" and k is not None}
+    stock = {k: v for k, v in plain("InventoryItem").items() if ("ProductVariant", k) in dropped}
+    dropped |= {("InventoryItem", k) for k, v in stock.items() if v != "live_but_held"}
+    got = plan.select("resource", "key", "verdict").collect()
+    assert {tuple(r) for r in got} == {("ProductVariant", *x) for x in variants.items()} | {("InventoryItem", *x) for x in stock.items()}
+    assert {r.verdict for r in got} == {"not_on_store", "collapsed_onto_loaded_variant", "live_but_held"}
+    left = targets.prune(ledger, plan)
+    assert left.columns == ledger.columns and left._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 3 + 1
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, left.collect()), key=key) == sorted((r for r in book if r[:2] not in dropped), key=key)
+    twice = targets.prune(ledger, plan.unionByName(plan))
+    assert twice.count() == left.count() == len(book) - len(dropped)
