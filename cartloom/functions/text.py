@@ -50,7 +50,7 @@ def _unescape_all(values: pa.Array) -> pa.Array:
 def clean_texts(c: Column) -> Column:
     """:func:`clean_text` of every element; null array to empty."""
     filled = F.coalesce(c, F.array().cast("array<string>"))
-    return F.transform(_unescape_all(filled), lambda v: strip(F.coalesce(v, F.lit(""))))
+    return F.transform(_unescape_all(filled), lambda v: _where_ragged(F.coalesce(v, F.lit("")), strip))
 
 
 def strip(c: Column) -> Column:

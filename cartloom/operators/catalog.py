@@ -4,9 +4,9 @@ records plus an exception register."""
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.functions import options as opt
@@ -22,9 +22,9 @@ from cartloom.functions.text import (
     slugify,
 )
 from cartloom.operators.exceptions import AGENCY, Rule, exceptions_from_rules, union_all
-from cartloom.operators.skew import numbered, with_first
+from cartloom.operators.skew import MAX_GROUP_ROWS, numbered, numbered_ranges, ranged, with_first
 from cartloom.rules import shop
-from cartloom.session import checkpointed
+from cartloom.session import checkpointed, spread
 
 CURRENCY = "AUD"
 COUNTRY = "AU"
@@ -37,13 +37,23 @@ def source_ref(id_: Column, kind: str, snapshot: str) -> Column:
     ).alias("source")
 
 
-def resolve_price(v: Column, parent: Column) -> Column:
-    """``struct<price, compare_at>``: sale, regular, current, parent regular, parent price."""
+def own_price(v: Column) -> Column:
+    """``struct<price, compare_at>`` of a variation by itself: sale, regular, current."""
     sale, regular = money(v["sale_price"]), money(v["regular_price"])
-    price = F.coalesce(
-        sale, regular, money(v["price"]), money(parent["regular_price"]), money(parent["price"])
+    return F.struct(
+        F.coalesce(sale, regular, money(v["price"])).alias("price"), F.when(sale != regular, regular).alias("compare_at")
     )
-    return F.struct(price.alias("price"), F.when(sale != regular, regular).alias("compare_at"))
+
+
+def parent_price(parent: Column) -> Column:
+    """Price of a variation that has none: the parent's regular, current."""
+    return F.coalesce(money(parent["regular_price"]), money(parent["price"]))
+
+
+def resolve_price(v: Column, parent: Column) -> Column:
+    """``struct<price, compare_at>``: sale, regular, current, parent regular, parent price."""
+    own = own_price(v)
+    return F.struct(F.coalesce(own["price"], parent_price(parent)).alias("price"), own["compare_at"].alias("compare_at"))
 
 
 def resolve_inventory(v: Column, parent: Column) -> Column:
@@ -443,6 +453,26 @@ def all_variations(products: DataFrame, variations: DataFrame) -> DataFrame:
     return real.unionByName(simple)
 
 
+def own_facts(rows: DataFrame, policy: Mapping[str, tuple[str, str]] = shop.ATTRIBUTE_POLICY) -> DataFrame:
+    """What a variation says by itself, cleaned: narrow rows to deal by product. Python runs here, as Spark forgets behind it how rows are dealt."""
+    own = own_price(F.struct("sale_price", "regular_price", "price"))
+    barcode = F.coalesce(blank_to_null(meta_value(F.col("meta_data"), shop.BARCODE_FIELD)), F.col("global_unique_id"))
+    return (
+        rows.withColumn("_names", clean_texts(F.col("attributes.name")))
+        .withColumn("_values", clean_texts(F.col("attributes.option")))
+        .select(
+            # narrow numbers side by side: a shuffle's compression finds longer runs
+            "manage_stock", "stock_status", "backorders_allowed", "virtual", "tax_status",
+            F.nullif(kg_to_grams(F.col("weight")), F.lit(0)).alias("_grams"),
+            blank_to_null(clean_text(barcode)).alias("barcode"),
+            "id", "parent_id", own["price"].alias("_price"), own["compare_at"].alias("_compare_at"),
+            F.coalesce("menu_order", F.lit(0)).alias("menu_order"), "stock_quantity",
+            clean_text(F.col("sku")).alias("raw_sku"),
+            F.zip_with("_names", "_values", lambda n, v: F.struct(_canonical(n, policy).alias("name"), v.alias("value"))).alias("_given"),
+        )
+    )
+
+
 def build_variants(
     products: DataFrame,
     classified: DataFrame,
@@ -452,12 +482,17 @@ def build_variants(
     policy: Mapping[str, tuple[str, str]] = shop.ATTRIBUTE_POLICY,
     sku_prefix: str = SKU_PREFIX,
     currency: str = CURRENCY,
-    max_group_rows: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Variant records (before product holds) and their exceptions.
 
     ``products`` are the source rows, ``classified`` the same with handles: what needs no handle
-    reads the source, so its plan stays short.
+    reads the source, so its plan stays short. ``keep`` writes the judged rows where both results
+    are read; without it each makes them for itself.
+
+    Rows are dealt by product once: numbering, the join with the product and the search for repeated combinations
+    all run there. Where a product has more than ``max_group_rows`` rows, its rows are dealt by ranges and combinations instead.
     """
     parents = (
         classified.join(options, F.col("id") == F.col("product_id"), "left")
@@ -465,48 +500,39 @@ def build_variants(
             F.col("id").alias("parent_id"),
             "handle",
             "options",
+            # read once a product, not once a variation
             F.struct(
-                *[F.col(f) for f in ("regular_price", "price", "manage_stock", "weight", "virtual", "tax_status")]
+                parent_price(F.struct("regular_price", "price")).alias("price"), "manage_stock",
+                kg_to_grams(F.col("weight")).alias("grams"), "virtual", "tax_status",
             ).alias("parent"),
         )
     )
-    extra = {} if max_group_rows is None else {"max_rows": max_group_rows}
-    rows = numbered(
-        all_variations(products, variations).withColumn("menu_order", F.coalesce("menu_order", F.lit(0))),
-        ["parent_id"],
-        ["menu_order", "id"],
-        ["menu_order", "id"],
-        **extra,
-    )
-    own_names = clean_texts(F.col("attributes.name"))
-    own_values = clean_texts(F.col("attributes.option"))
-    joined = (
-        rows.withColumn("_names", own_names)
-        .withColumn("_values", own_values)
-        .withColumn("_given", F.zip_with("_names", "_values", lambda n, v: F.struct(_canonical(n, policy).alias("name"), v.alias("value"))))
-        .withColumn("raw_sku", clean_text(F.col("sku")))
-        .withColumn("_barcode", clean_text(F.coalesce(blank_to_null(meta_value(F.col("meta_data"), shop.BARCODE_FIELD)), F.col("global_unique_id"))))
-        # the parent side is one row per product; a hot parent is split by the adaptive skew join
-        .join(parents, "parent_id")
-    )
-    v = F.struct(*[F.col(c) for c in _VARIANT_FIELDS])
+    rows, order = own_facts(all_variations(products, variations), policy), ["menu_order", "id"]
+    cut = ranged(rows, ["parent_id"], order, max_rows=max_group_rows)
+    if cut is None:
+        placed = spread(rows, "parent_id").withColumn("position", F.row_number().over(Window.partitionBy("parent_id").orderBy(*order)).cast("bigint"))
+    else:
+        placed = numbered_ranges(cut, ["parent_id"], order)
+    # the parent side is one row per product; a hot parent is split by the adaptive skew join
+    joined = placed.join(parents, "parent_id")
     parent = F.col("parent")
 
     def given(name: Column) -> Column:
         return F.try_element_at(F.filter("_given", lambda g: g["name"] == name), F.lit(-1))["value"]
 
-    def chosen(o: Column) -> Column:
+    def asked(o: Column) -> Column:
         raw = F.coalesce(given(o["name"]), F.when(o["name"] == "Sock Size", given(F.lit("Size"))))
-        return F.struct(
-            o["name"].alias("name"),
-            F.when(raw != "", F.coalesce(F.try_element_at(o["value_map"], raw), raw)).alias("value"),
-        )
+        return F.struct(o["name"].alias("name"), o["value_map"].alias("value_map"), raw.alias("raw"))
+
+    def chosen(o: Column) -> Column:
+        value = F.when(o["raw"] != "", F.coalesce(F.try_element_at(o["value_map"], o["raw"]), o["raw"]))
+        return F.struct(o["name"].alias("name"), value.alias("value"))
 
     shape = "array<struct<name:string,value:string>>"
-    picked = F.coalesce(F.transform("options", chosen), F.array().cast(shape))
-    stock = resolve_inventory(v, parent)
-    cost = resolve_price(v, parent)
-    weight = F.coalesce(F.nullif(kg_to_grams(F.col("weight")), F.lit(0)), kg_to_grams(parent["weight"]))
+    # in two steps, so the given value is looked up once
+    picked = F.coalesce(F.transform(F.transform("options", asked), chosen), F.array().cast(shape))
+    stock = resolve_inventory(F.struct("manage_stock", "stock_quantity", "stock_status"), parent)
+    cost = F.struct(F.coalesce("_price", parent["price"]).alias("price"), F.col("_compare_at").alias("compare_at"))
     resolved = (
         joined.withColumn("_picked", picked)
         .withColumn("missing", F.transform(F.filter("_picked", lambda p: p["value"].isNull()), lambda p: p["name"]))
@@ -519,12 +545,12 @@ def build_variants(
         )
         .withColumn("cost", cost)
         .withColumn("stock", stock)
-        .withColumn("weight_grams", weight)
+        .withColumn("weight_grams", F.coalesce("_grams", parent["grams"]))
         .withColumn("sku_generated", F.col("raw_sku") == "")
         .withColumn("sku", F.when(F.col("sku_generated"), generate_sku(F.col("parent_id"), F.col("id"), sku_prefix)).otherwise(F.col("raw_sku")))
         .withColumn("_combination", F.when(F.size("missing") == 0, F.to_json("option_values")))
         .select(
-            "id", "parent_id", "handle", "position", "sku", "sku_generated", blank_to_null(F.col("_barcode")).alias("barcode"), "cost", "stock", "weight_grams",
+            "id", "parent_id", "handle", "position", "sku", "sku_generated", "barcode", "cost", "stock", "weight_grams",
             F.when(F.col("backorders_allowed"), "CONTINUE").otherwise("DENY").alias("inventory_policy"),
             (~(F.coalesce("virtual", F.lit(False)) | F.coalesce(parent["virtual"], F.lit(False)))).alias("requires_shipping"),
             (
@@ -533,19 +559,25 @@ def build_variants(
             "option_values", "missing", "_combination",
         )
     )
-    # read by the duplicate check, the records and the exceptions: computed once, what they need of it
-    resolved = checkpointed(resolved)
-    full = resolved.where(F.col("_combination").isNotNull())
-    claimed = (
-        full.groupBy("parent_id", "_combination")
-        # positions are unique in a product; a minimum of structs would be a sort aggregation
-        .agg(F.min_by("id", "position").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .drop("_n")
-    )
-    checked = resolved.join(claimed, ["parent_id", "_combination"], "left").withColumn(
-        "first_variation_id", F.when(F.col("_first") != F.col("id"), F.col("_first"))
-    )
+    whole, combination = F.col("_combination").isNotNull(), ["parent_id", "_combination"]
+    if cut is None:
+        # a product's rows are in one task already: no shuffle
+        owned = resolved.withColumn("_first", F.when(whole, F.first("id").over(Window.partitionBy(*combination).orderBy("position"))))
+    else:
+        # read twice: computed once, what is needed of it
+        resolved = checkpointed(resolved)
+        claimed = (
+            resolved.where(whole)
+            .groupBy(*combination)
+            # positions are unique in a product; a minimum of structs would be a sort aggregation
+            .agg(F.min_by("id", "position").alias("_first"), F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1)
+            .drop("_n")
+        )
+        owned = resolved.join(claimed, combination, "left")
+    checked = owned.withColumn("first_variation_id", F.when(F.col("_first") != F.col("id"), F.col("_first"))).drop("_first", "_combination")
+    if keep is not None:
+        checked = keep(checked)
     no_price = F.col("cost.price").isNull()
     no_value = F.size("missing") > 0
     repeated = F.col("first_variation_id").isNotNull()

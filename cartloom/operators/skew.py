@@ -96,6 +96,12 @@ def numbered(
     cut = ranged(df, keys, spread, "_range", max_rows)
     if cut is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    return numbered_ranges(cut, keys, order, out)
+
+
+def numbered_ranges(cut: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "position") -> DataFrame:
+    """:func:`numbered` of rows that have their ``_range`` by :func:`ranged`."""
+    keys = list(keys)
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy(*keys, "_range").count()
     shifts = counts.withColumn("_shift", F.sum("count").over(earlier)).where(F.col("_shift") > 0).drop("count")

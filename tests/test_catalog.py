@@ -190,3 +190,47 @@ def test_spellings_are_cleaned_once_a_product(spark):
     rows = spark.createDataFrame([(["a", None, " b "], "x"), (["A &amp; B", None, "&lt;"], " &eacute; "), (None, None), ([], "&")], "vs array<string>, v string")
     got = [tuple(r) for r in rows.coalesce(1).select(clean_texts(F.col("vs")), clean_text(F.col("v"))).collect()]
     assert got == [(["a", "", "b"], "x"), (["A & B", "", "<"], "é"), ([], ""), ([], "&")]
+
+
+def odd_variations(spark, folder):
+    """A product with repeated, open and blank combinations, null orders, entities, and one whose variations leave all to it."""
+    colours = ["Black", " Black ", "Navy &amp; Sand", "", "Black", "Navy &amp; Sand", None, "Red", "Red", "Black"]
+    entities = {
+        "products": [
+            {**shopdata.PRODUCTS[0], "attributes": [shopdata.attribute("Color", "Black", "Red"), shopdata.attribute("Size", "36", "37")]},
+            {**shopdata.PRODUCTS[1], "weight": "1.5", "manage_stock": True, "attributes": [shopdata.attribute("Color", "Gray", "Red")]}, shopdata.PRODUCTS[3],
+        ],
+        "variations": [
+            shopdata.variant(i, 10, None if i % 4 == 0 else i % 3, " s&amp;t " if i % 2 else "", {"Color": c, "Size": "36" if i % 5 else "37"}, stock_quantity=i - 4)
+            for i, c in enumerate(colours, 1)
+        ]
+        + [shopdata.variant(50 + i, 11, 0, "x", {"Color": "Gray" if i else "Red"}, regular_price="", price="", sale_price="") for i in range(3)],
+    }
+    return snapshot(spark, shopdata.write(folder, entities))
+
+
+def test_variants_are_dealt_by_product_once(spark, tmp_path):
+    """Numbering, the join and the search for repeated combinations share one shuffle of narrow rows, and no copy of all rows is written between them."""
+    source = odd_variations(spark, tmp_path)
+    products = source["products"]
+    options, _ = catalog.build_options(products, source["variations"])
+    classified = catalog.classified_products(products)
+    records, raised = catalog.build_variants(products, classified, source["variations"], options, "s")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        plan = records._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) == 1 and not any("_combination" in line for line in dealt)
+    hot, hot_raised = catalog.build_variants(products, classified, source["variations"], options, "s", max_group_rows=3)
+    text = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct("*"))).collect())
+    assert text(records) == text(hot) and text(raised) == text(hot_raised)
+    rows = {r.source.source_id: r for r in records.collect()}
+    assert len(rows) == 14 and [i for i, r in sorted(rows.items(), key=lambda x: x[1].position) if r.product_id == 10] == [3, 4, 6, 8, 9, 1, 7, 10, 2, 5]
+    # Black/36: 1, 2 (stripped); Black/37: 5, 10; Navy & Sand: 3, 6; Red: 8, 9; without a colour: 4, 7
+    held = {i: r.held_reasons for i, r in rows.items() if r.held}
+    assert {i for i, why in held.items() if why == ["duplicate_option_combination"]} == {2, 5, 6, 9, 52}
+    assert {i for i, why in held.items() if why == ["variant_missing_option_value"]} >= {4, 7}
+    assert (rows[3].sku, rows[4].sku, rows[1].inventory_quantity, rows[9].inventory_quantity) == ("s&t", "SKU-10-4", 0, 5)
+    assert (rows[51].price, rows[51].weight_grams, rows[51].inventory_tracked) == (Decimal("55.50"), 1500, True)
