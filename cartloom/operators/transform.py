@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def transform(snapshot: Snapshot, folder: str, vendor: str, sku_prefix: str = ca
     options, issues = catalog.build_options(products, variations)
     options, issues = keep("options", options), keep("option_issues", issues)
     raised.append(catalog.option_exceptions(issues, classified))
-    variants, found = catalog.build_variants(products, classified, variations, options, taken, sku_prefix=sku_prefix)
+    variants, found = catalog.build_variants(products, classified, variations, options, taken, sku_prefix=sku_prefix, keep=partial(keep, "variants_judged"))
     variants = keep("variants_built", variants)
     raised += [found, catalog.duplicate_sku_exceptions(variants)]
     images, found = catalog.build_media(products, classified, variations, snapshot["media"], snapshot["media_head"], taken, sku_prefix)

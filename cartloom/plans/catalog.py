@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from cartloom.operators import catalog, media, quality
 from cartloom.operators.exceptions import Rule, exceptions_by_code, exceptions_from_rules, union_all
 from cartloom.plans import bindings as b
 from cartloom.plans.registry import query, table
+from cartloom.session import stored
 
 SLUG_SQL = "trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-')"
 
@@ -177,11 +180,12 @@ def by_code(spark: SparkSession, folder: str) -> DataFrame:
     return exceptions_by_code(register(spark, folder))
 
 
-def variant_frames(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def variant_frames(spark: SparkSession, folder: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Variant records and exceptions of all parts; ``keep`` where a query reads both."""
     products, variations = b.products(spark, folder), b.variations(spark, folder)
     classified = catalog.classified_products(products)
     options, _ = catalog.build_options(products, variations)
-    return catalog.build_variants(products, classified, variations, options, "tables")
+    return catalog.build_variants(products, classified, variations, options, "tables", keep=keep)
 
 
 @query(
@@ -219,7 +223,7 @@ def variant_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("variant_exceptions")
 def variant_exceptions(spark: SparkSession, folder: str) -> DataFrame:
-    records, raised = variant_frames(spark, folder)
+    records, raised = variant_frames(spark, folder, keep=stored)
     return exceptions_by_code(raised.unionByName(catalog.duplicate_sku_exceptions(records)))
 
 

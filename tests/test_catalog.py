@@ -234,3 +234,27 @@ def test_variants_are_dealt_by_product_once(spark, tmp_path):
     assert {i for i, why in held.items() if why == ["variant_missing_option_value"]} >= {4, 7}
     assert (rows[3].sku, rows[4].sku, rows[1].inventory_quantity, rows[9].inventory_quantity) == ("s&t", "SKU-10-4", 0, 5)
     assert (rows[51].price, rows[51].weight_grams, rows[51].inventory_tracked) == (Decimal("55.50"), 1500, True)
+
+
+def test_variants_read_twice_are_written_once(spark, tmp_path, monkeypatch):
+    """Where records and exceptions are both read, the judged rows are written as columns once; neither judges or shuffles them again."""
+    from cartloom import session
+    from cartloom.operators.exceptions import exceptions_by_code
+    from cartloom.plans import catalog as queries
+
+    source = odd_variations(spark, tmp_path)
+    products = source["products"]
+    options, _ = catalog.build_options(products, source["variations"])
+    given = products, catalog.classified_products(products), source["variations"], options, "s"
+    copies = []
+    records, raised = catalog.build_variants(*given, keep=lambda df: copies.append(session.stored(df)) or copies[-1])
+    plain, plain_raised = catalog.build_variants(*given)
+    text = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct("*"))).collect())
+    assert len(copies) == 1 and text(records) == text(plain) and text(raised) == text(plain_raised)
+    every = raised.unionByName(catalog.duplicate_sku_exceptions(records))
+    plan = exceptions_by_code(every)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "ArrowEvalPython" not in plan and "parent_id" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    kept = []
+    monkeypatch.setattr(queries, "stored", lambda df: kept.append(df.columns) or session.stored(df))
+    counts = {r.code: r.n for r in queries.variant_exceptions(spark, "/root/testdata/sf0.001").collect()}
+    assert len(kept) == 1 and counts["duplicate_option_combination"] > 0
